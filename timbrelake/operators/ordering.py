@@ -45,15 +45,17 @@ def global_index(
     return indexed, total
 
 
+def batch_number(position: Column, size: int = BATCH_SIZE, first: int = 0) -> Column:
+    """Number of the batch a position falls into; ``first`` continues an earlier numbering."""
+    return F.floor(position / F.lit(size)).cast("bigint") + F.lit(first)
+
+
 def assign_batches(
     df: DataFrame, *order: str | Column, size: int = BATCH_SIZE, first: int = 0
 ) -> DataFrame:
-    """Batch number ``first + floor(position / size)`` in the given order.
-
-    ``first`` continues the numbering of an earlier run.
-    """
+    """Batches of ``size`` rows each in the given order; only the last one may be smaller."""
     indexed, _ = global_index(df, *order)
-    batch = F.floor(F.col("row_index") / F.lit(size)).cast("bigint") + F.lit(first)
+    batch = batch_number(F.col("row_index"), size, first)
     return indexed.withColumn("batch_id", batch).drop("row_index")
 
 

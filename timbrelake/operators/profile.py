@@ -74,6 +74,8 @@ def feature_stats(
     The percentiles come from a sketch of the given accuracy, or with ``exact`` from
     :func:`exact_percentiles`.
     """
+    points = {"p10": 0.1, "p90": 0.9}
+    found = exact_percentiles(df, columns, list(points.values())) if exact else {}
     figures = []
     for name in columns:
         figures += [
@@ -82,116 +84,115 @@ def feature_stats(
             F.round(F.min(name), places).alias(f"{name}__min"),
             F.round(F.max(name), places).alias(f"{name}__max"),
         ]
-        if not exact:
-            for label, point in (("p10", 0.1), ("p90", 0.9)):
+        for label, point in points.items():
+            if exact:
+                value = F.any_value(F.lit(found[name, point]).cast("double"))
+            else:
                 value = F.percentile_approx(name, point, accuracy)
-                figures.append(F.round(value, places).alias(f"{name}__{label}"))
-    stats = df.agg(*figures)
-    if not exact:
-        return stats
-    found = exact_percentiles(df, columns, [0.1, 0.9])
-    for name in columns:
-        for label, point in (("p10", 0.1), ("p90", 0.9)):
-            value = F.lit(found[name, point]).cast("double")
-            stats = stats.withColumn(f"{name}__{label}", F.round(value, places))
-    order = ["mean", "std", "min", "max", "p10", "p90"]
-    return stats.select(*[f"{name}__{stat}" for name in columns for stat in order])
+            figures.append(F.round(value, places).alias(f"{name}__{label}"))
+    return df.agg(*figures)
 
 
 def exact_percentiles(
     df: DataFrame,
     columns: Sequence[str],
     points: Sequence[float],
-    accuracy: int = 10_000,
+    accuracy: int = 1_000,
     bound: int = 1_000_000,
 ) -> dict[tuple[str, float], float | None]:
     """Exact discrete percentiles: the smallest value with at least ``p * n`` rows up to it.
 
-    A sketch brackets each percentile, one aggregation counts the rows below and inside each
-    bracket, and brackets are narrowed until at most ``bound`` rows are inside. Only the rows
+    A coarse sketch brackets each percentile, one aggregation counts the rows below and inside
+    each bracket, and brackets are narrowed until at most ``bound`` rows are inside. Only the rows
     inside are then ranked, after being counted per distinct value. The counts prove that a
-    bracket holds its percentile; one that does not is widened again.
+    bracket holds its percentile; one that does not is drawn again from a finer sketch.
+
+    Every step reads ``df``: pass a stored data set rather than the result of a costly join.
     """
-    slots = [(name, point) for name in columns for point in points]
-    sizes = df.agg(*[F.count(name).alias(name) for name in columns]).first()
-    rank = {(c, p): max(1, math.ceil(Fraction(str(p)) * sizes[c])) for c, p in slots}
-    low: dict = dict.fromkeys(slots)
-    high: dict = dict.fromkeys(slots)
-    below = dict.fromkeys(slots, 0)
-    inside = {(c, p): sizes[c] for c, p in slots}
-
-    def within(slot) -> Column:
-        value = F.col(slot[0])
-        test = value.isNotNull()
-        if low[slot] is not None:
-            test = test & (value >= low[slot])
-        if high[slot] is not None:
-            test = test & (value <= high[slot])
-        return test
-
-    def wide(slot) -> bool:
-        same = low[slot] is not None and low[slot] == high[slot]
-        return inside[slot] > bound and not same
-
-    while todo := [slot for slot in slots if wide(slot)]:
-        margin = 2.0 / accuracy
-        sketches = []
-        for i, slot in enumerate(todo):
-            share = (rank[slot] - below[slot]) / inside[slot]
-            ends = [max(0.0, share - margin), min(1.0, share + margin)]
-            value = F.when(within(slot), F.col(slot[0]))
-            sketches.append(F.percentile_approx(value, ends, accuracy).alias(f"s{i}"))
-        ends = df.agg(*sketches).first()
-        previous = {slot: (low[slot], high[slot], inside[slot]) for slot in todo}
-        for i, slot in enumerate(todo):
-            low[slot], high[slot] = ends[i]
+    slots = [_Slot(name, point) for name in columns for point in points]
+    first = df.agg(
+        *[F.count(name).alias(name) for name in columns],
+        *[slot.sketch(accuracy).alias(f"s{i}") for i, slot in enumerate(slots)],
+    ).first()
+    for i, slot in enumerate(slots):
+        slot.inside = first[slot.column]
+        slot.rank = max(1, math.ceil(Fraction(str(slot.point)) * slot.inside))
+        slot.proposal = first[f"s{i}"]
+
+    while todo := [slot for slot in slots if slot.open(bound)]:
         tests = []
         for i, slot in enumerate(todo):
+            low, high = slot.proposal
             tests += [
-                F.count_if(F.col(slot[0]) < low[slot]).alias(f"b{i}"),
-                F.count_if(within(slot)).alias(f"i{i}"),
+                F.count_if(F.col(slot.column) < low).alias(f"b{i}"),
+                F.count_if(F.col(slot.column).between(low, high)).alias(f"i{i}"),
             ]
         counts = df.agg(*tests).first()
         for i, slot in enumerate(todo):
-            lower, upper, before = previous[slot]
-            if counts[f"b{i}"] < rank[slot] <= counts[f"b{i}"] + counts[f"i{i}"]:
-                below[slot], inside[slot] = counts[f"b{i}"], counts[f"i{i}"]
+            below, inside = counts[f"b{i}"], counts[f"i{i}"]
+            if below < slot.rank <= below + inside:
+                slot.low, slot.high = slot.proposal
+                slot.below, slot.inside = below, inside
             else:
-                low[slot], high[slot] = lower, upper
-                accuracy *= 2
-            if inside[slot] == before and accuracy > 10_000_000:
-                raise ValueError(f"percentile of {slot[0]} cannot be bracketed")
-
-    result: dict = {slot: low[slot] for slot in slots if inside[slot] > bound}
-    result |= {slot: None for slot in slots if inside[slot] == 0}
-    open_slots = [slot for slot in slots if slot not in result]
-    if open_slots:
-        entries = F.array(
-            *[
-                F.when(
-                    within(slot),
-                    F.struct(F.lit(i).alias("slot"), F.col(slot[0]).cast("double").alias("value")),
-                )
-                for i, slot in enumerate(open_slots)
-            ]
-        )
-        histogram = (
-            df.select(F.explode(F.array_compact(entries)).alias("e"))
-            .groupBy("e.slot", "e.value")
-            .count()
-        )
-        needed = F.element_at(
-            F.array(*[F.lit(rank[slot] - below[slot]) for slot in open_slots]), F.col("slot") + 1
-        )
-        running = F.sum("count").over(W.partitionBy("slot").orderBy("value"))
-        hits = (
-            histogram.withColumn("running", running)
-            .filter(F.col("running") >= needed)
-            .groupBy("slot")
-            .agg(F.min("value").alias("value"))
+                accuracy *= 10
+        todo = [slot for slot in todo if slot.open(bound)]
+        if todo:
+            sketches = [slot.sketch(accuracy).alias(f"s{i}") for i, slot in enumerate(todo)]
+            for slot, proposal in zip(todo, df.agg(*sketches).first()):
+                slot.proposal = proposal
+
+    # A bracket of a single value is that value; a column without values has no percentile.
+    ranked = [slot for slot in slots if slot.inside and (slot.low is None or slot.low < slot.high)]
+    values = _ranked_values(df, ranked) if ranked else {}
+    found = {(slot.column, slot.point): slot.low for slot in slots}
+    return found | {(ranked[i].column, ranked[i].point): v for i, v in values.items()}
+
+
+class _Slot:
+    """One percentile of one column: its rank, and the bracket known to hold it."""
+
+    def __init__(self, column: str, point: float):
+        self.column, self.point = column, point
+        self.low = self.high = None
+        self.below = self.inside = self.rank = 0
+
+    def open(self, bound: int) -> bool:
+        return self.inside > bound and (self.low is None or self.low < self.high)
+
+    def within(self) -> Column:
+        value = F.col(self.column)
+        return value.isNotNull() if self.low is None else value.between(self.low, self.high)
+
+    def sketch(self, accuracy: int) -> Column:
+        """Values a little below and above the percentile among the rows of the bracket."""
+        share = (self.rank - self.below) / self.inside if self.rank else self.point
+        margin = 2.0 / accuracy
+        ends = [max(0.0, share - margin), min(1.0, share + margin)]
+        value = F.when(self.within(), F.col(self.column))
+        return F.percentile_approx(value, ends, accuracy)
+
+
+def _ranked_values(df: DataFrame, slots: list[_Slot]) -> dict[int, float]:
+    """Value at the rank of each slot, found among the rows of its bracket."""
+    entries = [
+        F.when(
+            slot.within(),
+            F.struct(F.lit(i).alias("slot"), F.col(slot.column).cast("double").alias("value")),
         )
-        result |= {open_slots[row["slot"]]: row["value"] for row in hits.collect()}
-    return result
+        for i, slot in enumerate(slots)
+    ]
+    needed = F.array(*[F.lit(slot.rank - slot.below) for slot in slots])
+    running = F.sum("count").over(W.partitionBy("slot").orderBy("value"))
+    hits = (
+        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        .groupBy("e.slot", "e.value")
+        .count()
+        .withColumn("running", running)
+        .filter(F.col("running") >= F.get(needed, F.col("slot")))
+        .groupBy("slot")
+        .agg(F.min("value").alias("value"))
+    )
+    return {row["slot"]: row["value"] for row in hits.collect()}
 
 
 # --- groups -------------------------------------------------------------------------------
@@ -225,7 +226,11 @@ def genre_ranking(df: DataFrame, column: str = "genres", n: int = TOP_GROUPS) ->
 
 def genre_pareto(df: DataFrame, column: str = "genres", n: int = TOP_GROUPS) -> DataFrame:
     """The ranking with each group's share and the cumulative share of the whole data set."""
-    counted = group_count(df, column)
+    return pareto_of(group_count(df, column), column, n)
+
+
+def pareto_of(counted: DataFrame, column: str = "genres", n: int = TOP_GROUPS) -> DataFrame:
+    """The same from groups that have been counted."""
     # One row: the number of rows of the whole data set.
     total = counted.agg(F.sum("count").alias("_total"))
     running = F.sum("count").over(
@@ -248,16 +253,22 @@ def genre_pareto(df: DataFrame, column: str = "genres", n: int = TOP_GROUPS) ->
 
 
 def group_profile(
-    df: DataFrame, column: str = "genres", n: int | None = TOP_GROUPS
+    df: DataFrame,
+    column: str = "genres",
+    n: int | None = TOP_GROUPS,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """Rounded means of the profile columns and the size of each group, largest groups first."""
+    """Rounded means of the profile columns and the size of each group, largest groups first.
+
+    ``n=None`` keeps all groups; ``extra`` adds aggregates to the same pass.
+    """
     figures = [
         rounded(F.avg(source), places).alias(name) for source, name, places in PROFILE_COLUMNS
     ]
     figures.append(F.count("*").alias("count"))
     if "duration" in df.columns:
         figures.append(rounded(F.avg("duration"), 1).alias("duration_avg"))
-    grouped = df.groupBy(column).agg(*figures)
+    grouped = df.groupBy(column).agg(*figures, *extra)
     return top_groups(grouped, column, n) if n else grouped
 
 
@@ -279,7 +290,12 @@ def noise_score(df: DataFrame, column: str = "genres", n: int = TOP_GROUPS) -> D
         rounded(F.avg("flatness_mean"), 5).alias("flatness"),
         F.count("*").alias("count"),
     )
-    scored = top_groups(grouped, column, n)
+    return noise_of(top_groups(grouped, column, n), column)
+
+
+def noise_of(profile: DataFrame, column: str = "genres") -> DataFrame:
+    """The same from the profile of the largest groups."""
+    scored = profile.select(column, "zcr", "flatness", "count")
     for name in ("zcr", "flatness"):
         place = F.percent_rank().over(W.orderBy(name))
         scored = scored.withColumn(f"pct_rank_{name}", F.round(place, 3))

@@ -11,6 +11,8 @@ from timbrelake.constants import CATALOGUE_FIELDS
 from timbrelake.operators.filters import only_ok
 
 _NO_SEPARATOR = "\u0001"
+# The writer trims values unless told not to.
+_UNTRIMMED = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -48,7 +50,7 @@ def write_shard(df: DataFrame, root: str, shard: int) -> str:
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header=True, sep="\t").csv(path)
+    df.write.mode("overwrite").options(header=True, sep="\t", **_UNTRIMMED).csv(path)
 
 
 def write_catalogue(
@@ -62,5 +64,5 @@ def write_catalogue(
     header = "\t".join([*fixed, tag_header])
     line = F.concat_ws("\t", *[F.col(name).cast("string") for name in fixed], F.col(tags))
     df.select(line.alias(header)).write.mode("overwrite").options(
-        header=True, sep=_NO_SEPARATOR, quote="", emptyValue=""
+        header=True, sep=_NO_SEPARATOR, quote="", emptyValue="", **_UNTRIMMED
     ).csv(path)
