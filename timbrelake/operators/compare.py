@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timbrelake.constants import COMPARED_FEATURES, RADAR_COEFFICIENTS, RADAR_GROUPS
-from timbrelake.operators.profile import rounded, top_groups
+from timbrelake.operators.profile import top_groups
 
 
 def track_vs_dataset(
@@ -22,12 +22,10 @@ def track_vs_dataset(
     ``stats`` is the single row of :func:`timbrelake.operators.profile.feature_stats`.
     """
 
-    def entry(name: str) -> Column:
+    def known(name: str) -> Column:
         low, high = F.col(f"{name}__min"), F.col(f"{name}__max")
-        value = F.col(name) if name in tracks.columns else F.lit(0.0)
         return F.struct(
             F.lit(name).alias("feature"),
-            F.coalesce(value.cast("double"), F.lit(0.0)).alias("value"),
             F.coalesce(f"{name}__mean", F.lit(0.0)).alias("ds_mean"),
             F.coalesce(f"{name}__std", F.lit(0.0)).alias("ds_std"),
             F.coalesce(low, F.lit(0.0)).alias("ds_min"),
@@ -36,15 +34,25 @@ def track_vs_dataset(
             F.coalesce(f"{name}__p90", high, F.lit(1.0)).alias("ds_p90"),
         )
 
-    gap = F.col("value") - F.col("ds_mean")
-    percent = F.coalesce(F.try_divide(gap, F.col("ds_mean")) * 100, F.lit(0.0))
-    size = F.abs("delta_pct")
-    return (
-        tracks.crossJoin(F.broadcast(stats))
-        .select(*keys, F.inline(F.array(*[entry(name) for name in features])))
+    def own(name: str) -> Column:
+        value = F.col(name) if name in tracks.columns else F.lit(0.0)
+        return F.struct(
+            F.lit(name).alias("feature"),
+            F.coalesce(value.cast("double"), F.lit(0.0)).alias("value"),
+        )
+
+    # One row per compared feature, so the broadcast side has a handful of rows.
+    bands = (
+        stats.select(F.inline(F.array(*[known(name) for name in features])))
         .withColumn("band_low", F.round(F.col("ds_mean") - F.col("ds_std"), 6))
         .withColumn("band_high", F.round(F.col("ds_mean") + F.col("ds_std"), 6))
-        .withColumn("delta_pct", rounded(percent, 4))
+    )
+    gap = F.try_divide(F.col("value") - F.col("ds_mean"), F.col("ds_mean")) * 100
+    size = F.abs("delta_pct")
+    return (
+        tracks.select(*keys, F.inline(F.array(*[own(name) for name in features])))
+        .join(F.broadcast(bands), "feature")
+        .withColumn("delta_pct", F.round(F.coalesce(gap, F.lit(0.0)), 4))
         .withColumn(
             "flag", F.when(size > 30, "red").when(size > 10, "yellow").otherwise("green")
         )

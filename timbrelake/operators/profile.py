@@ -6,6 +6,7 @@ cut to a fixed number of groups before, so an unpartitioned window sees a dozen
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 from fractions import Fraction
@@ -71,8 +72,8 @@ def feature_stats(
 ) -> DataFrame:
     """Mean, sample std, min, max, p10 and p90 of each column as ``column__statistic``: one row.
 
-    The percentiles come from a sketch of the given accuracy, or with ``exact`` from
-    :func:`exact_percentiles`.
+    The percentiles come from one sketch per column of the given accuracy, in the same pass as
+    the rest, or with ``exact`` from :func:`exact_percentiles`.
     """
     points = {"p10": 0.1, "p90": 0.9}
     found = exact_percentiles(df, columns, list(points.values())) if exact else {}
@@ -84,11 +85,9 @@ def feature_stats(
             F.round(F.min(name), places).alias(f"{name}__min"),
             F.round(F.max(name), places).alias(f"{name}__max"),
         ]
-        for label, point in points.items():
-            if exact:
-                value = F.any_value(F.lit(found[name, point]).cast("double"))
-            else:
-                value = F.percentile_approx(name, point, accuracy)
+        sketch = F.percentile_approx(name, list(points.values()), accuracy)
+        for i, (label, point) in enumerate(points.items()):
+            value = F.lit(found[name, point]).cast("double") if exact else sketch[i]
             figures.append(F.round(value, places).alias(f"{name}__{label}"))
     return df.agg(*figures)
 
@@ -98,7 +97,7 @@ def exact_percentiles(
     columns: Sequence[str],
     points: Sequence[float],
     accuracy: int = 1_000,
-    bound: int = 1_000_000,
+    bound: int = 50_000,
 ) -> dict[tuple[str, float], float | None]:
     """Exact discrete percentiles: the smallest value with at least ``p * n`` rows up to it.
 
@@ -107,17 +106,24 @@ def exact_percentiles(
     inside are then ranked, after being counted per distinct value. The counts prove that a
     bracket holds its percentile; one that does not is drawn again from a finer sketch.
 
-    Every step reads ``df``: pass a stored data set rather than the result of a costly join.
+    Every pass reads ``df``, so a stored data set is a better input than the result of a costly
+    join.
     """
     slots = [_Slot(name, point) for name in columns for point in points]
+    margin = 2.0 / accuracy
+    sketches = []
+    for name in columns:
+        ends = [end for p in points for end in (max(0.0, p - margin), min(1.0, p + margin))]
+        sketches.append(F.percentile_approx(name, ends, accuracy).alias(f"_s_{name}"))
     first = df.agg(
-        *[F.count(name).alias(name) for name in columns],
-        *[slot.sketch(accuracy).alias(f"s{i}") for i, slot in enumerate(slots)],
+        *[F.count(name).alias(f"_n_{name}") for name in columns],
+        *sketches,
     ).first()
     for i, slot in enumerate(slots):
-        slot.inside = first[slot.column]
+        slot.inside = first[f"_n_{slot.column}"]
         slot.rank = max(1, math.ceil(Fraction(str(slot.point)) * slot.inside))
-        slot.proposal = first[f"s{i}"]
+        at = 2 * (i % len(points))
+        slot.proposal = (first[f"_s_{slot.column}"] or [])[at : at + 2]
 
     while todo := [slot for slot in slots if slot.open(bound)]:
         tests = []
@@ -135,17 +141,17 @@ def exact_percentiles(
                 slot.below, slot.inside = below, inside
             else:
                 accuracy *= 10
-        todo = [slot for slot in todo if slot.open(bound)]
-        if todo:
-            sketches = [slot.sketch(accuracy).alias(f"s{i}") for i, slot in enumerate(todo)]
-            for slot, proposal in zip(todo, df.agg(*sketches).first()):
+        if todo := [slot for slot in todo if slot.open(bound)]:
+            narrower = [slot.sketch(accuracy).alias(f"s{i}") for i, slot in enumerate(todo)]
+            for slot, proposal in zip(todo, df.agg(*narrower).first()):
                 slot.proposal = proposal
 
     # A bracket of a single value is that value; a column without values has no percentile.
     ranked = [slot for slot in slots if slot.inside and (slot.low is None or slot.low < slot.high)]
     values = _ranked_values(df, ranked) if ranked else {}
     found = {(slot.column, slot.point): slot.low for slot in slots}
-    return found | {(ranked[i].column, ranked[i].point): v for i, v in values.items()}
+    found |= {(ranked[i].column, ranked[i].point): value for i, value in values.items()}
+    return found
 
 
 class _Slot:
@@ -153,7 +159,7 @@ class _Slot:
 
     def __init__(self, column: str, point: float):
         self.column, self.point = column, point
-        self.low = self.high = None
+        self.low = self.high = self.proposal = None
         self.below = self.inside = self.rank = 0
 
     def open(self, bound: int) -> bool:
@@ -165,8 +171,7 @@ class _Slot:
 
     def sketch(self, accuracy: int) -> Column:
         """Values a little below and above the percentile among the rows of the bracket."""
-        share = (self.rank - self.below) / self.inside if self.rank else self.point
-        margin = 2.0 / accuracy
+        share, margin = (self.rank - self.below) / self.inside, 2.0 / accuracy
         ends = [max(0.0, share - margin), min(1.0, share + margin)]
         value = F.when(self.within(), F.col(self.column))
         return F.percentile_approx(value, ends, accuracy)
@@ -183,8 +188,10 @@ def _ranked_values(df: DataFrame, slots: list[_Slot]) -> dict[int, float]:
     ]
     needed = F.array(*[F.lit(slot.rank - slot.below) for slot in slots])
     running = F.sum("count").over(W.partitionBy("slot").orderBy("value"))
+    inside = functools.reduce(lambda a, b: a | b, [slot.within() for slot in slots])
     hits = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        df.filter(inside)
+        .select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
         .groupBy("e.slot", "e.value")
         .count()
         .withColumn("running", running)

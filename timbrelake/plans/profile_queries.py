@@ -208,7 +208,8 @@ def _compared(name: str) -> str:
   {name}__p10 AS ds_p10, {name}__p90 AS ds_p90 FROM tracks, stats"""
 
 
-_PERCENT = half_up("coalesce((value - ds_mean) / nullif(ds_mean, 0) * 100, 0)", 4)
+_GAP = "coalesce((value - ds_mean) / nullif(ds_mean, 0) * 100, 0)"
+_PERCENT = f"CAST(round(CAST({_GAP} AS DECIMAL(38,16)), 4) AS DOUBLE)"
 
 
 @query(f"""WITH {views.TRACKS}, {STATS},
