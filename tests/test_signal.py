@@ -122,11 +122,37 @@ def test_relational_form_gives_the_same_series(spark, root):
 
 
 def test_blocks_of_frames_change_nothing():
-    x = np.random.default_rng(3).normal(size=30000)
-    whole, tempo = dsp.analyse(x, 16000, SignalConfig())
-    parts, same = dsp.analyse(x, 16000, SignalConfig(block=5))
-    assert whole.shape == parts.shape == (1 + 30000 // 512, len(SERIES))
-    assert np.allclose(whole, parts, atol=1e-9) and tempo == same
+    draw = np.random.default_rng(3)
+    signals = [draw.normal(size=n) for n in (30000, 1500, 700, 0, 12000)]
+    for center in (True, False):
+        whole, counts, tempo = dsp.analyse(signals, 16000, SignalConfig(center=center))
+        small = SignalConfig(center=center, block_values=5 * 2048)
+        parts, same_counts, same_tempo = dsp.analyse(signals, 16000, small)
+        assert whole.shape == parts.shape == (counts.sum(), len(SERIES))
+        assert np.allclose(whole, parts, atol=1e-9) and list(tempo) == list(same_tempo)
+        alone = [dsp.analyse([x], 16000, small) for x in signals]
+        assert list(counts) == list(same_counts) == [int(a[1][0]) for a in alone]
+        assert np.allclose(whole, np.vstack([a[0] for a in alone]), atol=1e-9)
+        assert list(tempo) == [a[2][0] for a in alone]
+        stats = dsp.summaries(whole, counts)
+        for i, (matrix, _, _) in enumerate(alone):
+            if len(matrix):
+                own = [matrix.mean(0), matrix.std(0), matrix.min(0), matrix.max(0)]
+                assert np.allclose(stats[i], np.stack(own, axis=1), atol=1e-8)
+            else:
+                assert not stats[i].any()
+
+
+def test_chunks_and_mixed_rates_change_nothing(spark):
+    draw = np.random.default_rng(4)
+    data = [(i, [8000, 16000][i % 2], [float(v) for v in draw.normal(size=3000 + 50 * i)])
+            for i in range(12)]
+    frame = spark.createDataFrame(data, SIGNAL)
+    together = signal.extract_features(frame, "id").orderBy("id").toPandas()
+    alone = SignalConfig(chunk_samples=1)
+    single = signal.extract_features(frame, "id", config=alone).orderBy("id").toPandas()
+    assert np.allclose(together[compact_names()], single[compact_names()], atol=1e-8)
+    assert list(together["n_samples"]) == [len(x) for _, _, x in data]
 
 
 def test_series_and_compact_agree(spark, root):

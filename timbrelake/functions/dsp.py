@@ -1,12 +1,14 @@
-"""Spectral features of one signal, on numpy arrays. Called inside Arrow batches of Spark tasks.
+"""Spectral features on numpy arrays. Called inside Arrow batches of Spark tasks.
 
-Frames are rows. A long signal is worked through in blocks of frames, so memory is bounded by the
+Frames are rows. The frames of all signals at hand form one sequence that is worked through in
+blocks: short signals share a block, a long one is spread over several. Memory is bounded by the
 block and by one value per frame and feature, not by frames times bins.
 """
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +33,9 @@ class SignalConfig:
     slowest_bpm: float = 30.0
     fastest_bpm: float = 300.0
     min_samples: int = MIN_SAMPLES
-    block: int = 4096
+    # Values per block of frames and samples per chunk of signals: some tens of MB each.
+    block_values: int = 2**21
+    chunk_samples: int = 4_000_000
 
 
 def mel_to_hz(mel: np.ndarray) -> np.ndarray:
@@ -109,8 +113,31 @@ def _contrast(S: np.ndarray, cfg: SignalConfig, bands: list[np.ndarray]) -> np.n
     return out
 
 
-def _block(frames: np.ndarray, before: np.ndarray | None, cfg: SignalConfig, t: dict) -> dict:
-    """Features of consecutive frames; ``before`` is the spectrum of the frame ahead of them."""
+def _blocks(
+    framed: Sequence[np.ndarray], cfg: SignalConfig
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The frames of all signals in blocks, and which of them are the first of their signal."""
+    limit = max(1, cfg.block_values // cfg.n_fft)
+    pieces, heads, size = [], [], 0
+    for frames in framed:
+        for start in range(0, len(frames), limit):
+            piece = frames[start : start + limit]
+            if size + len(piece) > limit and size:
+                yield np.concatenate(pieces), np.concatenate(heads)
+                pieces, heads, size = [], [], 0
+            head = np.zeros(len(piece), dtype=bool)
+            head[0] = start == 0
+            pieces.append(piece)
+            heads.append(head)
+            size += len(piece)
+    if size:
+        yield np.concatenate(pieces), np.concatenate(heads)
+
+
+def _block(
+    frames: np.ndarray, heads: np.ndarray, before: np.ndarray | None, cfg: SignalConfig, t: dict
+) -> dict:
+    """Features of consecutive frames; ``before`` is the level of the frame ahead of them."""
     freqs = t["freqs"]
     S = spectrum_of(frames, t["window"])
     total = S.sum(axis=1)
@@ -124,6 +151,7 @@ def _block(frames: np.ndarray, before: np.ndarray | None, cfg: SignalConfig, t:
     unit = _ratio(chroma, np.broadcast_to(chroma.sum(axis=1, keepdims=True), chroma.shape))
     level = np.log(np.maximum(S, 1e-5))
     earlier = np.vstack([level[:1] if before is None else before, level[:-1]])
+    earlier[heads] = level[heads]
     positive = frames >= 0
     return {
         "mel": power @ t["mel"],
@@ -146,30 +174,54 @@ def tempo_of(onset: np.ndarray, rate: int, cfg: SignalConfig) -> float:
     per_minute = 60.0 * rate / cfg.hop
     first = max(1, int(np.ceil(per_minute / cfg.fastest_bpm)))
     last = min(len(onset) - 1, int(np.floor(per_minute / cfg.slowest_bpm)))
-    lags = np.arange(first, last + 1)
-    if not len(lags):
+    if first > last:
         return 0.0
-    strength = np.round([float(onset[lag:] @ onset[:-lag]) for lag in lags], 9)
-    return per_minute / float(lags[np.argmax(strength)]) if strength.max() > 0 else 0.0
+    strength = np.round([onset[lag:] @ onset[:-lag] for lag in range(first, last + 1)], 9)
+    return per_minute / float(first + np.argmax(strength)) if strength.max() > 0 else 0.0
 
 
-def analyse(x: np.ndarray, rate: int, cfg: SignalConfig) -> tuple[np.ndarray, float]:
-    """Matrix of frames times feature series, in compact order, and the tempo."""
-    if len(x) < cfg.min_samples:
-        raise ValueError(f"only {len(x)} samples")
+_ORDER = ["centroid", "bandwidth", "rolloff", "flatness", "contrast", "onset", "chroma",
+          "tonnetz", "rms", "zcr"]
+_WIDTH = N_MFCC + 4 + N_CONTRAST + 1 + N_CHROMA + N_TONNETZ + 2
+_ONSET_AT = N_MFCC + 4 + N_CONTRAST
+
+
+def analyse(
+    signals: Sequence[np.ndarray], rate: int, cfg: SignalConfig
+) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """Features of signals of one sample rate.
+
+    Returns the matrix of all their frames times the feature series in compact order, the number
+    of frames of each signal, and the tempo of each.
+    """
     t = tables(cfg, int(rate))
-    frames = frames_of(np.asarray(x, dtype=np.float64), cfg)
-    blocks, before = [], None
-    for start in range(0, len(frames), cfg.block):
-        blocks.append(_block(frames[start : start + cfg.block], before, cfg, t))
-        before = blocks[-1].pop("_last")
-    width = N_MFCC + 4 + N_CONTRAST + 1 + N_CHROMA + N_TONNETZ + 2
-    if not blocks:
-        return np.empty((0, width)), 0.0
-    whole = {name: np.concatenate([b[name] for b in blocks]) for name in blocks[0]}
+    framed = [frames_of(np.asarray(x, dtype=np.float64), cfg) for x in signals]
+    counts = np.array([len(frames) for frames in framed])
+    found, before = [], None
+    for frames, heads in _blocks(framed, cfg):
+        found.append(_block(frames, heads, before, cfg, t))
+        before = found[-1].pop("_last")
+    if not found:
+        return np.empty((0, _WIDTH)), counts, [0.0] * len(framed)
+    whole = {name: np.concatenate([block[name] for block in found]) for name in found[0]}
     energy = 10.0 * np.log10(np.maximum(whole["mel"], _FLOOR))
-    mfcc = np.maximum(energy, energy.max() - cfg.top_db) @ t["dct"]
-    names = ["centroid", "bandwidth", "rolloff", "flatness", "contrast", "onset", "chroma",
-             "tonnetz", "rms", "zcr"]
-    matrix = np.column_stack([mfcc, *[whole[name] for name in names]])
-    return matrix, tempo_of(whole["onset"], rate, cfg)
+    some = counts[counts > 0]
+    loudest = np.maximum.reduceat(energy.max(axis=1), np.cumsum(some) - some)
+    mfcc = np.maximum(energy, np.repeat(loudest - cfg.top_db, some)[:, None]) @ t["dct"]
+    matrix = np.column_stack([mfcc, *[whole[name] for name in _ORDER]])
+    onsets = np.split(matrix[:, _ONSET_AT], np.cumsum(counts)[:-1])
+    return matrix, counts, [tempo_of(onset, rate, cfg) for onset in onsets]
+
+
+def summaries(matrix: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Mean, population std, min and max per signal and series; zeros for a signal without frames."""
+    out = np.zeros((len(counts), matrix.shape[1], 4))
+    full = counts > 0
+    if full.any():
+        size = counts[full]
+        starts = np.cumsum(size) - size
+        mean = np.add.reduceat(matrix, starts) / size[:, None]
+        spread = np.add.reduceat((matrix - np.repeat(mean, size, axis=0)) ** 2, starts)
+        low, high = np.minimum.reduceat(matrix, starts), np.maximum.reduceat(matrix, starts)
+        out[full] = np.stack([mean, np.sqrt(spread / size[:, None]), low, high], axis=2)
+    return out

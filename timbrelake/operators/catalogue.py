@@ -41,8 +41,7 @@ def wanted_repartition(
     """Rows per wanted genre, each counted once per row, and the number of rows kept overall."""
     kept = wanted_rows(df, tags, wanted)
     per_genre = kept.select(F.explode("matched").alias("genre")).groupBy("genre").count()
-    # The total is a single row, whatever the size of the data.
-    return per_genre.crossJoin(F.broadcast(kept.agg(F.count("*").alias("kept"))))
+    return per_genre.withColumn("kept", kept.agg(F.count("*")).scalar())
 
 
 def cap_per_class(

@@ -67,9 +67,9 @@ def checksum_report(
     """
     digests = files.select(name, F.sha2(F.col(content), 256).alias("actual"))
     expected = manifest.select(name, F.col("sha256").alias("expected"))
-    return digests.join(expected, name, "inner").withColumn(
-        "matches", F.col("actual") == F.col("expected")
-    )
+    # Null-safe, so that no "is not null" test is pushed down that would hash the content twice.
+    matches = F.col("actual").eqNullSafe(F.col("expected"))
+    return digests.join(expected, name, "inner").withColumn("matches", matches)
 
 
 def checksum_mismatches(

@@ -238,23 +238,20 @@ def genre_pareto(df: DataFrame, column: str = "genres", n: int = TOP_GROUPS) ->
 
 def pareto_of(counted: DataFrame, column: str = "genres", n: int = TOP_GROUPS) -> DataFrame:
     """The same from groups that have been counted."""
-    # One row: the number of rows of the whole data set.
-    total = counted.agg(F.sum("count").alias("_total"))
+    total = counted.agg(F.sum("count")).scalar()
     running = F.sum("count").over(
         W.orderBy(F.desc("count"), column).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     place = F.rank().over(W.orderBy(F.desc("count")))
 
     def percent(part: Column) -> Column:
-        return rounded(F.try_divide(part, F.col("_total")) * 100, 1)
+        return rounded(F.try_divide(part, total) * 100, 1)
 
     return (
         top_groups(counted, column, n)
-        .crossJoin(F.broadcast(total))
         .withColumn("rank", place)
         .withColumn("cumul_pct", percent(running))
         .withColumn("pct", percent(F.col("count")))
-        .drop("_total")
         .orderBy("rank", column)
     )
 
@@ -323,13 +320,12 @@ def class_balance(df: DataFrame, tags: str = "genres", at_least: int = MIN_SUPPO
     All tags are counted in one pass instead of two counts per tag.
     """
     tagged = df.select(F.explode(F.array_distinct(tags)).alias("genre"))
-    total = df.agg(F.count("*").alias("_total"))
+    total = df.agg(F.count("*")).scalar()
     return (
         tagged.groupBy("genre")
         .agg(F.count("*").alias("pos"))
         .filter(F.col("pos") >= at_least)
-        .crossJoin(F.broadcast(total))
-        .withColumn("neg", F.col("_total") - F.col("pos"))
+        .withColumn("neg", total - F.col("pos"))
         .filter(F.col("neg") > 0)
         .select("genre", "pos", "neg")
     )

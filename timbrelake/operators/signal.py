@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from timbrelake.functions.arrays import series_stats
-from timbrelake.functions.dsp import SignalConfig, analyse, spectrum_of, tables
+from timbrelake.functions.dsp import SignalConfig, analyse, spectrum_of, summaries, tables
 from timbrelake.functions.keys import basename, duration_seconds, iso_date, stable_bucket
 from timbrelake.functions.schema import (
     SERIES,
@@ -31,6 +31,7 @@ from timbrelake.functions.schema import (
     long_name,
     series_schema,
 )
+from timbrelake.session import ship_package
 
 _STATUS = [
     T.StructField("n_samples", T.LongType()),
@@ -41,6 +42,11 @@ _STATUS = [
 _TEMPO_AT = len(SERIES_BEFORE_TEMPO) * 4
 
 
+def _map(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 # --- reading signals ----------------------------------------------------------------------
 
 
@@ -114,7 +120,7 @@ def decode_wav(files: DataFrame) -> DataFrame:
                     names=schema.names,
                 )
 
-    return files.mapInArrow(run, schema)
+    return _map(files, run, schema)
 
 
 def frame_signal(signals: DataFrame, key: str, n: int, hop: int) -> DataFrame:
@@ -142,7 +148,7 @@ def spectrum(frames: DataFrame, n: int) -> DataFrame:
             columns = [batch.column(field.name) for field in kept]
             yield pa.RecordBatch.from_arrays([*columns, _lists(list(rows))], names=schema.names)
 
-    return frames.mapInArrow(run, schema)
+    return _map(frames, run, schema)
 
 
 # --- features -----------------------------------------------------------------------------
@@ -157,30 +163,63 @@ def _lists(rows: Sequence[np.ndarray | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
-def _analysed(batch: pa.RecordBatch, cfg: SignalConfig) -> tuple[list, list[pa.Array]]:
-    """Result of every row of a batch (None after a failure) and the status columns.
+class _Chunk:
+    """Signals read together, with the status of each; None where reading failed.
 
     A failure of one signal is recorded in its row and never fails the task.
     """
-    results, lengths, rates, flags, errors = [], [], [], [], []
-    for read in _signals(batch):
-        length = rate = None
+
+    def __init__(self) -> None:
+        self.signals: list[np.ndarray | None] = []
+        self.rates: list[int | None] = []
+        self.lengths: list[int | None] = []
+        self.errors: list[str | None] = []
+        self.samples = 0
+
+    def add(self, read: Callable[[], tuple[np.ndarray, int]], cfg: SignalConfig) -> None:
+        x = rate = length = error = None
         try:
             x, rate = read()
             length = len(x)
-            results.append(analyse(x, rate, cfg))
-            errors.append(None)
+            if length < cfg.min_samples:
+                raise ValueError(f"only {length} samples")
+            self.samples += length
         except Exception as failure:
-            results.append(None)
-            errors.append(f"{type(failure).__name__}: {failure}")
-        lengths.append(length)
-        rates.append(rate)
-        flags.append(int(results[-1] is not None))
-    status = [
-        pa.array(lengths, pa.int64()), pa.array(rates, pa.int32()),
-        pa.array(flags, pa.int32()), pa.array(errors, pa.string()),
-    ]
-    return results, status
+            x, error = None, f"{type(failure).__name__}: {failure}"
+        self.signals.append(x)
+        self.rates.append(rate)
+        self.lengths.append(length)
+        self.errors.append(error)
+
+    def status(self) -> list[pa.Array]:
+        return [
+            pa.array(self.lengths, pa.int64()),
+            pa.array(self.rates, pa.int32()),
+            pa.array([int(x is not None) for x in self.signals], pa.int32()),
+            pa.array(self.errors, pa.string()),
+        ]
+
+    def analysed(self, cfg: SignalConfig) -> Iterator[tuple[list[int], tuple]]:
+        """Features of the good signals, together for all of the same rate, and their rows."""
+        good = [i for i, x in enumerate(self.signals) if x is not None]
+        for rate in sorted({self.rates[i] for i in good}):
+            at = [i for i in good if self.rates[i] == rate]
+            yield at, analyse([self.signals[i] for i in at], rate, cfg)
+
+
+def _chunks(batch: pa.RecordBatch, cfg: SignalConfig) -> Iterator[tuple[pa.RecordBatch, _Chunk]]:
+    """Consecutive rows of a batch, as many as have a bounded number of samples together.
+
+    A batch of paths is small itself, but the files behind it would not fit into memory.
+    """
+    start, chunk = 0, _Chunk()
+    for i, read in enumerate(_signals(batch)):
+        chunk.add(read, cfg)
+        if chunk.samples >= cfg.chunk_samples:
+            yield batch.slice(start, i + 1 - start), chunk
+            start, chunk = i + 1, _Chunk()
+    if chunk.signals:
+        yield batch.slice(start), chunk
 
 
 def _kept(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
@@ -203,26 +242,20 @@ def extract_features(
     features = compact_schema().fields[:-1]
     schema = T.StructType([*kept, *features, *_STATUS])
 
-    def compact(result: tuple[np.ndarray, float] | None) -> np.ndarray:
-        if result is None:
-            return np.zeros(len(features))
-        matrix, tempo = result
-        if not len(matrix):
-            return np.insert(np.zeros(len(features) - 1), _TEMPO_AT, tempo)
-        stats = [matrix.mean(axis=0), matrix.std(axis=0), matrix.min(axis=0), matrix.max(axis=0)]
-        return np.insert(np.column_stack(stats).reshape(-1), _TEMPO_AT, tempo)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            results, status = _analysed(batch, config)
-            table = np.vstack([compact(result) for result in results])
-            columns = [batch.column(field.name) for field in kept]
-            columns += [pa.array(column) for column in np.ascontiguousarray(table.T)]
-            yield pa.RecordBatch.from_arrays([*columns, *status], names=schema.names)
+            for rows, chunk in _chunks(batch, config):
+                table = np.zeros((rows.num_rows, len(features)))
+                for at, (matrix, counts, tempo) in chunk.analysed(config):
+                    stats = summaries(matrix, counts).reshape(len(at), -1)
+                    table[at] = np.insert(stats, _TEMPO_AT, tempo, axis=1)
+                columns = [rows.column(field.name) for field in kept]
+                columns += [pa.array(column) for column in np.ascontiguousarray(table.T)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, *chunk.status()], names=schema.names
+                )
 
-    return _input(df, keys).mapInArrow(run, schema)
+    return _map(_input(df, keys), run, schema)
 
 
 def extract_upload(
@@ -261,17 +294,24 @@ def extract_series(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            results, status = _analysed(batch, config)
-            lists = [
-                _lists([None if r is None else r[0][:, i] for r in results])
-                for i in range(len(SERIES))
-            ]
-            tempo = pa.array([None if r is None else r[1] for r in results], pa.float64())
-            lists.insert(len(SERIES_BEFORE_TEMPO), tempo)
-            columns = [batch.column(field.name) for field in kept]
-            yield pa.RecordBatch.from_arrays([*columns, *lists, *status], names=schema.names)
+            for rows, chunk in _chunks(batch, config):
+                found: list[np.ndarray | None] = [None] * rows.num_rows
+                tempi: list[float | None] = [None] * rows.num_rows
+                for at, (matrix, counts, tempo) in chunk.analysed(config):
+                    parts = np.split(matrix, np.cumsum(counts)[:-1])
+                    for i, part, beats in zip(at, parts, tempo):
+                        found[i], tempi[i] = part, beats
+                lists = [
+                    _lists([None if part is None else part[:, j] for part in found])
+                    for j in range(len(SERIES))
+                ]
+                lists.insert(len(SERIES_BEFORE_TEMPO), pa.array(tempi, pa.float64()))
+                columns = [rows.column(field.name) for field in kept]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, *lists, *chunk.status()], names=schema.names
+                )
 
-    return _input(df, keys).mapInArrow(run, schema)
+    return _map(_input(df, keys), run, schema)
 
 
 def frame_features(
@@ -288,18 +328,16 @@ def frame_features(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            results, _ = _analysed(batch, config)
-            for i, result in enumerate(results):
-                if result is None or not len(result[0]):
-                    continue
-                size = len(result[0])
-                repeat = pa.array(np.full(size, i))
-                columns = [batch.column(field.name).take(repeat) for field in kept]
-                columns.append(pa.array(np.arange(size), pa.int32()))
-                columns += [pa.array(np.ascontiguousarray(result[0][:, j])) for j in at]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            for rows, chunk in _chunks(batch, config):
+                for good, (matrix, counts, _) in chunk.analysed(config):
+                    owner = pa.array(np.repeat(good, counts))
+                    first = np.repeat(np.cumsum(counts) - counts, counts)
+                    columns = [rows.column(field.name).take(owner) for field in kept]
+                    columns.append(pa.array(np.arange(len(matrix)) - first, pa.int32()))
+                    columns += [pa.array(np.ascontiguousarray(matrix[:, j])) for j in at]
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return _input(df, keys).mapInArrow(run, schema)
+    return _map(_input(df, keys), run, schema)
 
 
 def compact_from_series(extracted: DataFrame, *keys: str) -> DataFrame:
@@ -308,13 +346,13 @@ def compact_from_series(extracted: DataFrame, *keys: str) -> DataFrame:
         *keys, "tempo", *[series_stats(F.col(long_name(name))).alias(name) for name in SERIES]
     )
 
-    def named(names: Sequence[str]) -> list[Column]:
+    def named(names: Sequence[str]) -> list[str]:
         return [
-            F.col(f"{name}.{stat}").alias(f"{name}_{stat}")
+            f"{name}.{stat} AS {name}_{stat}"
             for name in names
             for stat in ("mean", "std", "min", "max")
         ]
 
-    return stats.select(
+    return stats.selectExpr(
         *keys, *named(SERIES_BEFORE_TEMPO), "tempo", *named(SERIES_AFTER_TEMPO)
     )

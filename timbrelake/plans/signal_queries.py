@@ -23,8 +23,13 @@ CONFIG = SignalConfig(
 
 
 def r6(expression: str) -> str:
-    """Six decimal places, with no negative zero."""
-    return f"CAST(CAST({expression} AS DECIMAL(38,6)) AS DOUBLE)"
+    """Six decimal places by plain arithmetic, the same in both engines."""
+    return f"(floor(({expression}) * 1e6 + 0.5) / 1e6)"
+
+
+def six(*names: str) -> list[str]:
+    """The same for Spark as select expressions, which are parsed in one go."""
+    return [f"{r6(name)} AS {name}" for name in names]
 
 
 FRAMES = f"""frames AS (
@@ -144,7 +149,7 @@ def _frames(spark, root, *series):
     found = signal.frame_features(
         views.signals(spark, root), "vec_id", series=series, config=CONFIG
     )
-    return found.select("vec_id", "frame", *[F.round(name, 6).alias(name) for name in series])
+    return found.selectExpr("vec_id", "frame", *six(*series))
 
 
 def _numbered(name: str, n: int) -> list[str]:
@@ -166,7 +171,7 @@ def spectrum(spark, root):
     frames = signal.frame_signal(views.signals(spark, root), "vec_id", N, HOP)
     return signal.spectrum(frames, N).select(
         "vec_id", "frame", F.posexplode("magnitude").alias("k", "magnitude")
-    ).withColumn("magnitude", F.round("magnitude", 6))
+    ).selectExpr("vec_id", "frame", "k", *six("magnitude"))
 
 
 # --- series per frame -----------------------------------------------------------------------
@@ -230,7 +235,7 @@ def onset_strength(spark, root):
 @query(f"WITH {SPEC}, {ONSET}, {TEMPO} SELECT vec_id, {r6('tempo')} AS tempo FROM tempo")
 def tempo_autocorr(spark, root):
     found = signal.extract_features(views.signals(spark, root), "vec_id", config=CONFIG)
-    return found.select("vec_id", F.round("tempo", 6).alias("tempo"))
+    return found.selectExpr("vec_id", *six("tempo"))
 
 
 # --- whole signals ------------------------------------------------------------------------------
@@ -265,7 +270,7 @@ SELECT vec_id, {', '.join(picked)} FROM everything JOIN tempo USING (vec_id) GRO
 def extract_features(spark, root):
     """All 209 feature columns of every signal."""
     found = signal.extract_features(views.signals(spark, root), "vec_id", config=CONFIG)
-    return found.select("vec_id", *[F.round(name, 6).alias(name) for name in compact_names()])
+    return found.selectExpr("vec_id", *six(*compact_names()))
 
 
 @query(f"""WITH {', '.join(_ALL)}, {_JOINED}
@@ -280,17 +285,13 @@ def extract_series(spark, root):
     found = signal.extract_series(views.signals(spark, root), "vec_id", config=CONFIG)
 
     def shown(name):
-        values = F.col(long_name(name))
+        values = long_name(name)
         if name in ("rolloff", "zcr"):
-            return F.array_join(F.transform(values, lambda x: F.round(x, 6).cast("string")), "|")
-        weighted = F.transform(values, lambda x, i: x * (i + 1))
-        return F.round(F.aggregate(weighted, F.lit(0.0), lambda acc, x: acc + x), 6)
+            return f"array_join(transform({values}, x -> string({r6('x')})), '|') AS {values}"
+        weighted = f"transform({values}, (x, i) -> x * (i + 1))"
+        return f"{r6(f'aggregate({weighted}, 0D, (acc, x) -> acc + x)')} AS {values}"
 
-    return found.select(
-        "vec_id",
-        F.round("tempo", 6).alias("tempo"),
-        *[shown(name).alias(long_name(name)) for name in SERIES],
-    )
+    return found.selectExpr("vec_id", *six("tempo"), *[shown(name) for name in SERIES])
 
 
 @query(f"""WITH {FRAMES}, {RMS}, {ZCR},
@@ -310,10 +311,7 @@ def safe_extract(spark, root):
         .otherwise(F.col("embedding")).cast("array<double>").alias("samples"),
     )
     found = signal.extract_features(broken, "vec_id", config=CONFIG)
-    return found.select(
-        "vec_id", "ok", F.round("rms_mean", 6).alias("rms_mean"),
-        F.round("zcr_mean", 6).alias("zcr_mean"),
-    )
+    return found.selectExpr("vec_id", "ok", *six("rms_mean", "zcr_mean"))
 
 
 # --- statistics of arrays -------------------------------------------------------------------
@@ -326,7 +324,7 @@ def series_stats(spark, root):
     stats = views.signals(spark, root).select(
         "vec_id", arrays.series_stats(F.col("samples")).alias("s")
     )
-    return stats.select("vec_id", *[F.round(f"s.{name}", 6).alias(name) for name in STATISTICS])
+    return stats.select("vec_id", "s.*").selectExpr("vec_id", *six(*STATISTICS))
 
 
 @query(f"""WITH v AS (
@@ -343,7 +341,7 @@ def matrix_row_stats(spark, root):
     return (
         views.signals(spark, root)
         .select("vec_id", F.posexplode(stats).alias("position", "value"))
-        .withColumn("value", F.round("value", 6))
+        .selectExpr("vec_id", "position", *six("value"))
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timbrelake.functions.keys import iso_date, stable_bucket, swap_prefix, swap_suffix
+from timbrelake.functions.keys import stable_bucket, swap_prefix, swap_suffix
 from timbrelake.plans.registry import bucket_sql
 
 
@@ -16,23 +16,23 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def tracks(spark: SparkSession, root: str) -> DataFrame:
     """Feature rows with one genre each."""
     lines, parts = table(spark, root, "lineitem"), table(spark, root, "part")
-    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).selectExpr(
         "l_orderkey",
         "l_linenumber",
-        F.col("p_brand").alias("genres"),
-        (F.col("l_quantity") * 4).alias("tempo"),
-        F.col("l_extendedprice").alias("centroid_mean"),
-        F.col("l_discount").alias("rms_mean"),
-        F.col("l_tax").alias("zcr_mean"),
-        (F.col("l_discount") * F.col("l_tax")).alias("flatness_mean"),
-        (-F.col("l_extendedprice") / 100).alias("mfcc_1_mean"),
-        (F.col("l_quantity") * 2.5).alias("mfcc_2_mean"),
-        (F.col("l_discount") * 100).alias("mfcc_3_mean"),
-        (F.col("l_tax") * 100 - 4).alias("mfcc_4_mean"),
-        F.col("l_linenumber").cast("double").alias("mfcc_5_mean"),
-        F.col("l_quantity").alias("duration"),
-        F.col("l_suppkey").alias("user_id"),
-        iso_date(F.col("l_shipdate")).alias("uploaded_at"),
+        "p_brand AS genres",
+        "l_quantity * 4 AS tempo",
+        "l_extendedprice AS centroid_mean",
+        "l_discount AS rms_mean",
+        "l_tax AS zcr_mean",
+        "l_discount * l_tax AS flatness_mean",
+        "-l_extendedprice / 100 AS mfcc_1_mean",
+        "l_quantity * 2.5D AS mfcc_2_mean",
+        "l_discount * 100 AS mfcc_3_mean",
+        "l_tax * 100 - 4 AS mfcc_4_mean",
+        "double(l_linenumber) AS mfcc_5_mean",
+        "l_quantity AS duration",
+        "l_suppkey AS user_id",
+        "date_format(l_shipdate, 'yyyy-MM-dd') AS uploaded_at",
     )
 
 
@@ -149,10 +149,10 @@ def signals(spark: SparkSession, root: str, rate: int = 16000) -> DataFrame:
 
 def vectors(spark: SparkSession, root: str) -> DataFrame:
     """Embedding vectors as a table of 64 numeric features with a single genre."""
-    return table(spark, root, "embeddings").select(
+    return table(spark, root, "embeddings").selectExpr(
         "vec_id",
-        F.concat(F.lit("genre"), F.col("label").cast("string")).alias("genre"),
-        *[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(64)],
+        "concat('genre', label) AS genre",
+        *[f"double(get(embedding, {i})) AS x{i}" for i in range(64)],
     )
 
 
