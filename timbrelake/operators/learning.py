@@ -11,14 +11,14 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from timbrelake.constants import BINARY_FOREST, FOREST, LOGISTIC, TRAIN_PERCENT
 from timbrelake.functions.arrays import top_entries
 from timbrelake.functions.keys import stable_bucket, tag_indicator
 from timbrelake.operators.profile import class_balance
+from timbrelake.session import path_exists
 
 
 def hash_split(
@@ -168,15 +168,8 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel | None:
     """The saved model, or None if there is none at the path."""
-    try:
-        return PipelineModel.load(path)
-    except Exception as failure:
-        missing = isinstance(failure, AnalysisException) or any(
-            word in str(failure) for word in ("does not exist", "PATH_NOT_FOUND", "empty")
-        )
-        if missing:
-            return None
-        raise
+    spark = SparkSession.active()
+    return PipelineModel.load(path) if path_exists(spark, path) else None
 
 
 def predict_top(model: PipelineModel, df: DataFrame, *keys: str, k: int = 3) -> DataFrame:

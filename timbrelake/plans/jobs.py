@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +13,14 @@ from timbrelake.functions.keys import assign_user, genre_tags
 from timbrelake.operators import catalogue, filters, joins, learning, profile, signal
 from timbrelake.operators.filters import Selection
 from timbrelake.operators.ordering import batch_number, global_index
-from timbrelake.session import shared_dir
+from timbrelake.session import path_exists, shared_dir
 
 _STATUS = ("n_samples", "sr", "ok", "error")
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The data set at a path, or None if nothing has been written there yet."""
-    try:
-        return sources.read_dataset(spark, path)
-    except AnalysisException as failure:
-        if failure.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    return sources.read_dataset(spark, path) if path_exists(spark, path) else None
 
 
 # --- catalogue --------------------------------------------------------------------------------

@@ -58,6 +58,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever file system it names."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.exists(location)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once per Spark context.
 
