@@ -28,7 +28,7 @@ def test_extract_build_and_train(spark, tmp_path):
     assert {r["batch_id"] for r in stored.select("batch_id").collect()} == set(range(5))
 
     _corpus(audio, 23, 30)
-    second = jobs.extract(spark, str(audio), out, batch_size=5)
+    second = jobs.extract(spark, str(audio), out, batch_size=5, round_batches=1)
     assert second == {"found": 31, "pending": 8, "extracted": 7, "failed": 1}
     stored = sources.read_dataset(spark, out)
     assert stored.count() == 30 == stored.select("path").distinct().count()
@@ -56,6 +56,14 @@ def test_extract_build_and_train(spark, tmp_path):
     assert 0 <= metrics.first()["accuracy"] <= 1
 
 
+def test_extract_when_every_file_fails(spark, tmp_path):
+    (tmp_path / "a.wav").write_bytes(b"x")
+    out = scratch_path(spark, "nothing")
+    expected = {"found": 1, "pending": 1, "extracted": 0, "failed": 1}
+    assert jobs.extract(spark, str(tmp_path), out) == expected
+    assert jobs.extract(spark, str(tmp_path), out) == expected
+
+
 def test_rectangular_metadata(spark, tmp_path):
     (tmp_path / "m.tsv").write_text(HEADER + "track_05\ta\tb\t5.mp3\t30\tgenre---rock\n")
     found = jobs.read_metadata(spark, str(tmp_path / "m.tsv"), ragged=False)
@@ -65,7 +73,7 @@ def test_rectangular_metadata(spark, tmp_path):
 def test_filter_catalogue(spark, tmp_path):
     genres = ["rock", "pop", "folk"]
     lines = [
-        f"track_{i:07d}\ta\tb\t{i}.mp3\t3\tmood---x\tgenre---{genres[i % 3]}\tgenre---folk\n"
+        f"track_{i:07d}\ta\tb\t{i}.mp3\t3.50\tmood---x\tgenre---{genres[i % 3]}\tgenre---folk\n"
         for i in range(60)
     ]
     source = tmp_path / "c.tsv"
@@ -73,6 +81,9 @@ def test_filter_catalogue(spark, tmp_path):
     target = scratch_path(spark, "capped")
     found = jobs.filter_catalogue(spark, str(source), target, cap=4)
     assert rows(found) == [("folk", 4), ("rock", 4)]
+    assert sources.header_of(spark, target) == HEADER.strip()
+    written = sources.read_lines(spark, target).collect()
+    assert {r["line"] + "\n" for r in written} <= set(lines)
     kept = {r["TRACK_ID"] for r in sources.read_catalogue(spark, target).collect()}
     assert kept == {f"track_{i:07d}" for i in (0, 3, 6, 9, 2, 5, 8, 11)}
     anywhere = jobs.filter_catalogue(spark, str(source), scratch_path(spark, "any"), cap=None)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timbrelake import sinks, sources
 from timbrelake.constants import BATCH_SIZE, MAX_PER_CLASS, USERS, WANTED_GENRES
 from timbrelake.functions.dsp import SignalConfig
-from timbrelake.functions.keys import assign_user, genre_tags
+from timbrelake.functions.keys import assign_user, first_genre, genre_tags
 from timbrelake.operators import catalogue, filters, joins, learning, profile, signal
 from timbrelake.operators.filters import Selection
 from timbrelake.operators.ordering import batch_number, global_index
@@ -20,7 +21,14 @@ _STATUS = ("n_samples", "sr", "ok", "error")
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The data set at a path, or None if nothing has been written there yet."""
-    return sources.read_dataset(spark, path) if path_exists(spark, path) else None
+    if not path_exists(spark, path):
+        return None
+    try:
+        return sources.read_dataset(spark, path)
+    except AnalysisException as failure:
+        if failure.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without any data file
+            return None
+        raise
 
 
 # --- catalogue --------------------------------------------------------------------------------
@@ -30,19 +38,20 @@ def filter_catalogue(
     spark: SparkSession, source: str, target: str, wanted: list[str] = WANTED_GENRES,
     cap: int | None = MAX_PER_CLASS,
 ) -> DataFrame:
-    """Write the catalogue rows of the wanted genres and count them per genre.
+    """Write the catalogue rows of the wanted genres, unchanged, and count them per genre.
 
     With a cap, a row counts for its first genre and each genre keeps its first ``cap`` rows in
     file order; without one, rows with any wanted genre are kept.
     """
-    rows = sources.read_catalogue(spark, source)
+    rows, header = sources.read_catalogue(spark, source), sources.header_of(spark, source)
     if cap is None:
-        kept = catalogue.wanted_rows(rows, wanted=wanted)
-        sinks.write_catalogue(kept, target)
+        sinks.write_lines(catalogue.wanted_rows(rows, wanted=wanted), target, header)
         return catalogue.wanted_repartition(sources.read_catalogue(spark, target), wanted=wanted)
     kept = catalogue.cap_first_genre(rows, "position", wanted=wanted, cap=cap)
-    sinks.write_catalogue(kept, target)
-    return profile.group_count(kept, "genre").orderBy(F.desc("count"), "genre")
+    sinks.write_lines(kept, target, header)
+    stored = sources.read_catalogue(spark, target)
+    counted = stored.withColumn("genre", first_genre(F.col("tags")))
+    return profile.group_count(counted, "genre").orderBy(F.desc("count"), "genre")
 
 
 # --- extraction and training set ----------------------------------------------------------------
@@ -56,14 +65,15 @@ def extract(
     batch_size: int = BATCH_SIZE,
     uploaded_at: Column | None = None,
     upload: bool = False,
-    max_tasks: int = 20_000,
+    round_batches: int = 20_000,
     config: SignalConfig = SignalConfig(),
 ) -> dict[str, int]:
     """Features of all files not extracted yet, appended below one directory per batch.
 
     Only names are listed, deduplicated, compared with what is there, numbered and shuffled; a
-    task opens the files of its own batches. A rerun continues the batch numbers and skips what
-    an earlier run has written. Returns how many files were found, pending, extracted, failed.
+    task opens the files of its own batch. Batches are committed in rounds, so that a failed job
+    loses one round; a rerun continues the batch numbers and skips what has been written.
+    Returns how many files were found, pending, extracted and failed.
     """
     names = sources.list_files(spark, root, glob).dropDuplicates(["path"])
     found, first = names.count(), 0
@@ -78,22 +88,24 @@ def extract(
     batches = -(-total // batch_size)
     batched = indexed.select(
         "path", batch_number(F.col("row_index"), batch_size, first).alias("batch_id")
-    ).repartitionByRange(min(batches, max_tasks), "batch_id")
-    if upload:
-        features = signal.extract_upload(
-            batched, "path", "batch_id", uploaded_at=uploaded_at, config=config
-        )
-    else:
-        features = signal.extract_features(batched, "path", "batch_id", config=config)
-    seen = Observation()
-    counted = features.observe(
-        seen,
-        F.count_if(F.col("ok") == 1).alias("extracted"),
-        F.count_if(F.col("ok") == 0).alias("failed"),
     )
-    good = filters.only_ok(counted).drop(*_STATUS)
-    sinks.append_partitioned(good, out, "batch_id")
-    return counts | seen.get
+    for start in range(first, first + batches, round_batches):
+        size = min(round_batches, first + batches - start)
+        part = batched.filter(
+            (F.col("batch_id") >= start) & (F.col("batch_id") < start + size)
+        ).repartitionByRange(size, "batch_id")
+        if upload:
+            features = signal.extract_upload(
+                part, "path", "batch_id", uploaded_at=uploaded_at, config=config
+            )
+        else:
+            features = signal.extract_features(part, "path", "batch_id", config=config)
+        good = filters.only_ok(features).drop(*_STATUS)
+        sinks.append_partitioned(good, out, "batch_id")
+    # Counted from the new directories, without reading any column.
+    written = read_if_present(spark, out)
+    new = written.filter(F.col("batch_id") >= first).count() if written is not None else 0
+    return counts | {"extracted": new, "failed": total - new}
 
 
 def read_metadata(spark: SparkSession, path: str, ragged: bool = True) -> DataFrame:

@@ -3,14 +3,14 @@
 from timbrelake.sinks.tables import (
     append_history,
     append_partitioned,
-    observed_append,
     overwrite,
     write_catalogue,
+    write_lines,
     write_shard,
     write_tsv,
 )
 
 __all__ = [
-    "append_history", "append_partitioned", "observed_append", "overwrite", "write_catalogue",
+    "append_history", "append_partitioned", "overwrite", "write_catalogue", "write_lines",
     "write_shard", "write_tsv",
 ]

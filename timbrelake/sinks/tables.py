@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timbrelake.constants import CATALOGUE_FIELDS
@@ -30,18 +30,6 @@ def append_history(df: DataFrame, path: str) -> None:
     only_ok(df).write.mode("append").parquet(path)
 
 
-def observed_append(df: DataFrame, path: str, flag: str = "ok") -> dict[str, int]:
-    """Append the good rows and count good and failed ones during that same pass."""
-    seen = Observation()
-    counted = df.observe(
-        seen,
-        F.count_if(F.col(flag) == 1).alias("extracted"),
-        F.count_if(F.col(flag) == 0).alias("failed"),
-    )
-    append_history(counted, path)
-    return seen.get
-
-
 def write_shard(df: DataFrame, root: str, shard: int) -> str:
     """Write one shard to its own directory; all of them are read back as one data set."""
     path = f"{root}/dataset_part{shard}.parquet"
@@ -63,6 +51,11 @@ def write_catalogue(
     """Ragged catalogue: the header, then the fixed fields and all tags of each row."""
     header = "\t".join([*fixed, tag_header])
     line = F.concat_ws("\t", *[F.col(name).cast("string") for name in fixed], F.col(tags))
-    df.select(line.alias(header)).write.mode("overwrite").options(
+    write_lines(df.select(line.alias("line")), path, header)
+
+
+def write_lines(df: DataFrame, path: str, header: str) -> None:
+    """The ``line`` column as it is, below a header line."""
+    df.select(F.col("line").alias(header)).write.mode("overwrite").options(
         header=True, sep=_NO_SEPARATOR, quote="", emptyValue="", **_UNTRIMMED
     ).csv(path)

@@ -3,6 +3,7 @@
 from timbrelake.sources.files import list_by_prefix, list_files, sample_names
 from timbrelake.sources.tables import (
     catalogue_paths,
+    header_of,
     read_catalogue,
     read_dataset,
     read_lines,
@@ -12,6 +13,6 @@ from timbrelake.sources.tables import (
 )
 
 __all__ = [
-    "catalogue_paths", "list_by_prefix", "list_files", "read_catalogue", "read_dataset",
-    "read_lines", "read_manifest", "read_tsv", "rows_of", "sample_names",
+    "catalogue_paths", "header_of", "list_by_prefix", "list_files", "read_catalogue",
+    "read_dataset", "read_lines", "read_manifest", "read_tsv", "rows_of", "sample_names",
 ]

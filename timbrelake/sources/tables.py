@@ -48,10 +48,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def header_of(spark: SparkSession, path: str) -> str:
+    """Header line of a file or of the first of several files."""
+    return spark.read.text(path).first()["value"]
+
+
 def read_catalogue(
     spark: SparkSession, path: str, min_fields: int = MIN_CATALOGUE_FIELDS
 ) -> DataFrame:
-    """Ragged tag catalogue: five fixed fields, the rest of each line as an array of tags."""
+    """Ragged tag catalogue: five fixed fields, the rest of each line as an array of tags.
+
+    The line itself and its position are there as well; unused columns are never computed.
+    """
     fixed = len(CATALOGUE_FIELDS)
     fields = F.col("fields")
     columns = [
@@ -66,6 +74,7 @@ def read_catalogue(
             *columns,
             F.slice(fields, fixed + 1, F.size(fields) - fixed).alias("tags"),
             "position",
+            "line",
         )
     )
 
