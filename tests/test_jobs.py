@@ -108,13 +108,14 @@ def test_incremental_extraction(spark, tmp_path):
     audio, out = tmp_path / "audio", scratch_path(spark, "stream")
     progress = scratch_path(spark, "progress")
     _corpus(audio, 0, 4)
-    assert extract_new_files(spark, str(audio), out, progress) == 4
+    extract_new_files(spark, str(audio), out, progress)
+    assert sources.read_dataset(spark, out).count() == 4
     _corpus(audio, 4, 7)
     (audio / "0" / "bad.wav").write_bytes(b"x")
-    assert extract_new_files(spark, str(audio), out, progress) == 4
-    assert extract_new_files(spark, str(audio), out, progress) == 0
+    for _ in range(2):
+        extract_new_files(spark, str(audio), out, progress, files_per_batch=2)
     stored = sources.read_dataset(spark, out)
-    assert stored.count() == 7
+    assert stored.count() == 7 == stored.select("path").distinct().count()
     assert stored.columns == ["path", *compact_names()]
 
 

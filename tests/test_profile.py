@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from timbrelake.operators import compare, filters, profile
 from timbrelake.operators.filters import Selection
 from timbrelake.plans import views
-from timbrelake.plans.jobs import overview
+from timbrelake.plans.jobs import facets, overview
 
 FIELDS = [
     "tempo", "centroid_mean", "rms_mean", "zcr_mean", "flatness_mean", "mfcc_1_mean",
@@ -150,6 +150,18 @@ def test_overview_equals_single_operators(spark, root):
         assert rows(tables[name]) == rows(frame), name
 
 
+def test_facets_of_the_columns_there_are(spark):
+    frame = spark.createDataFrame(
+        [("b", 2, "2024-02-01"), ("a", None, "2024-01-01"), (None, 2, None)],
+        "genres STRING, user_id INT, uploaded_at STRING",
+    )
+    tables = facets(frame)
+    assert [r[0] for r in tables["genres"].collect()] == ["a", "b"]
+    assert [r[0] for r in tables["user_id"].collect()] == [2]
+    assert rows(tables["uploaded_at"]) == [("2024-01-01", "2024-02-01")]
+    assert set(facets(frame.select("genres"))) == {"genres"}
+
+
 def test_comparison_falls_back_only_for_null(spark):
     stats = spark.createDataFrame(
         [(0.0, None, -1.0, 0.0, None, None)],

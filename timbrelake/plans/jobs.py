@@ -159,6 +159,17 @@ def train(
 # --- profile ------------------------------------------------------------------------------------
 
 
+def facets(df: DataFrame) -> dict[str, DataFrame]:
+    """What a selection can choose from: genres, users and dates, as far as there are such columns."""
+    tables = {
+        name: profile.facet_values(df, name) for name in ("genres", "user_id")
+        if name in df.columns
+    }
+    if "uploaded_at" in df.columns:
+        tables["uploaded_at"] = profile.date_range(df)
+    return tables
+
+
 def overview(
     df: DataFrame, selection: Selection = Selection(), exact: bool = False
 ) -> dict[str, DataFrame]:

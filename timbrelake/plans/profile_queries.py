@@ -50,7 +50,7 @@ def _stat(name: str) -> list[str]:
 
 
 _STATS = ",\n       ".join(column for name in COMPARED_FEATURES for column in _stat(name))
-STATS = f"stats AS (SELECT {_STATS} FROM tracks)"
+STATS = f"stats AS (SELECT {_STATS} FROM measures)"
 
 _COUNTED = 'counted AS (SELECT genres, count(*) AS "count" FROM tracks GROUP BY genres)'
 
@@ -79,9 +79,9 @@ def kpi_summary(spark, root):
     return profile.kpi_summary(views.tracks(spark, root))
 
 
-@query(f"WITH {views.TRACKS}, {STATS} SELECT * FROM stats")
+@query(f"WITH {views.MEASURES}, {STATS} SELECT * FROM stats")
 def feature_stats(spark, root):
-    return profile.feature_stats(views.tracks(spark, root), exact=True)
+    return profile.feature_stats(views.measures(spark, root), exact=True)
 
 
 @query(f"""WITH {views.TRACKS}
@@ -205,14 +205,14 @@ def class_balance(spark, root):
 def _compared(name: str) -> str:
     return f"""SELECT l_orderkey, l_linenumber, '{name}' AS feature, {name} AS value,
   {name}__mean AS ds_mean, {name}__std AS ds_std, {name}__min AS ds_min, {name}__max AS ds_max,
-  {name}__p10 AS ds_p10, {name}__p90 AS ds_p90 FROM tracks, stats"""
+  {name}__p10 AS ds_p10, {name}__p90 AS ds_p90 FROM measures, stats"""
 
 
 _GAP = "coalesce((value - ds_mean) / nullif(ds_mean, 0) * 100, 0)"
 _PERCENT = f"CAST(round(CAST({_GAP} AS DECIMAL(38,16)), 4) AS DOUBLE)"
 
 
-@query(f"""WITH {views.TRACKS}, {STATS},
+@query(f"""WITH {views.MEASURES}, {STATS},
 compared AS ({' UNION ALL '.join(_compared(name) for name in COMPARED_FEATURES)}),
 placed AS (SELECT *, {half_up('ds_mean - ds_std', 6)} AS band_low,
                   {half_up('ds_mean + ds_std', 6)} AS band_high, {_PERCENT} AS delta_pct
@@ -222,7 +222,7 @@ SELECT *, CASE WHEN abs(delta_pct) > 30 THEN 'red' WHEN abs(delta_pct) > 10 THEN
 FROM placed""")
 def track_vs_dataset(spark, root):
     """Every track against the statistics of all tracks."""
-    tracks = views.tracks(spark, root)
+    tracks = views.measures(spark, root)
     stats = profile.feature_stats(tracks, exact=True)
     return compare.track_vs_dataset(tracks, stats, "l_orderkey", "l_linenumber")
 

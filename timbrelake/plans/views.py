@@ -47,6 +47,25 @@ TRACKS = """tracks AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
+def measures(spark: SparkSession, root: str) -> DataFrame:
+    """Feature rows without their genre: a stored table, so repeated passes stay cheap."""
+    return table(spark, root, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "l_quantity * 4 AS tempo",
+        "l_extendedprice AS centroid_mean",
+        "l_discount AS rms_mean",
+        "l_tax AS zcr_mean",
+        "l_discount * l_tax AS flatness_mean",
+    )
+
+
+MEASURES = """measures AS (
+  SELECT l_orderkey, l_linenumber, l_quantity * 4 AS tempo, l_extendedprice AS centroid_mean,
+         l_discount AS rms_mean, l_tax AS zcr_mean, l_discount * l_tax AS flatness_mean
+  FROM lineitem)"""
+
+
 def tagged(spark: SparkSession, root: str) -> DataFrame:
     """Catalogue rows with several tags, some of them without any."""
     parts = table(spark, root, "part")

@@ -19,8 +19,8 @@ def extract_new_files(
     glob: str = "*.wav",
     files_per_batch: int = 10_000,
     config: SignalConfig = SignalConfig(),
-) -> int:
-    """Append the features of files that arrived since the last run; the number of rows read.
+) -> None:
+    """Append the features of files that arrived since the last run.
 
     ``progress`` keeps the stream's own record of processed files, which takes the place of the
     comparison with earlier output.
@@ -44,4 +44,3 @@ def extract_new_files(
         .start()
     )
     run.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in run.recentProgress)
