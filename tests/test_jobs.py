@@ -3,8 +3,10 @@ from pyspark.sql import functions as F
 from wavs import tone, write_wav
 
 from timbrelake import sinks, sources
+from timbrelake.constants import COMPARED_FEATURES
 from timbrelake.functions.schema import compact_names, training_columns
-from timbrelake.operators import filters
+from timbrelake.operators import compare, filters, learning
+from timbrelake.operators.filters import Selection
 from timbrelake.plans import jobs
 from timbrelake.session import scratch_path
 from timbrelake.streaming import extract_new_files
@@ -55,6 +57,19 @@ def test_extract_build_and_train(spark, tmp_path):
     assert inputs == compact_names()
     assert 0 <= metrics.first()["accuracy"] <= 1
 
+    # One item against the data set: features, likely genres, distances, outlines.
+    data = filters.normalise_genre(with_users)
+    tables = jobs.overview(data, Selection(users=[0, 1, 2, 3, 4, 5]))
+    assert tables["kpi"].first()["total"] == 28 and tables["stats"].count() == 4
+    item = jobs.analyse_file(
+        spark, f"file://{audio}/0/3.low.wav", "mine", scratch_path(spark, "history")
+    )
+    assert learning.predict_top(model, item, "filename").count() == 3
+    placed = compare.track_vs_dataset(item, tables["feature_stats"], "filename")
+    assert {r["feature"] for r in placed.collect()} == set(COMPARED_FEATURES)
+    outlines = compare.profile_radar(tables["stats"], item)
+    assert outlines.count() == 5 * 6
+
 
 def test_extract_when_every_file_fails(spark, tmp_path):
     (tmp_path / "a.wav").write_bytes(b"x")

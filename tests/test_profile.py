@@ -69,7 +69,7 @@ def test_kpi_with_and_without_duration(spark):
     assert rows(profile.kpi_summary(timed)) == [(3, 2.0, 2, 0.0)]
 
 
-@pytest.mark.parametrize("kind", ["spread", "hot", "null"])
+@pytest.mark.parametrize("kind", ["spread", "hot", "null", "two values", "walls", "nan"])
 @pytest.mark.parametrize("bound", [50, 1_000_000])
 def test_exact_percentiles(spark, kind, bound):
     draw = random.Random(7)
@@ -77,13 +77,18 @@ def test_exact_percentiles(spark, kind, bound):
         "spread": [draw.gauss(0, 10) for _ in range(6000)],
         "hot": [3.0 if i % 3 else draw.random() * 6 for i in range(6000)],
         "null": [None if i % 2 else float(i) for i in range(6000)],
+        "two values": [float(i % 2) for i in range(6000)],
+        # Two frequent values with many rare ones between them.
+        "walls": [1.0] * 2700 + [1 + draw.random() for _ in range(600)] + [2.0] * 2700,
+        "nan": [math.nan if i % 4 == 0 else float(i % 7) for i in range(6000)],
     }[kind]
     frame = spark.createDataFrame([(v,) for v in values], "x DOUBLE").repartition(6)
     points = [0.1, 0.5, 0.9, 1.0]
     found = profile.exact_percentiles(frame, ["x"], points, accuracy=100, bound=bound)
-    known = sorted(v for v in values if v is not None)
+    known = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v))
     for p in points:
-        assert found["x", p] == known[max(1, math.ceil(round(p * len(known), 6))) - 1]
+        expected = known[max(1, math.ceil(round(p * len(known), 6))) - 1]
+        assert found["x", p] == expected or math.isnan(expected) and math.isnan(found["x", p])
 
 
 def test_exact_percentiles_of_nothing(spark):

@@ -101,10 +101,11 @@ def exact_percentiles(
 ) -> dict[tuple[str, float], float | None]:
     """Exact discrete percentiles: the smallest value with at least ``p * n`` rows up to it.
 
-    A coarse sketch brackets each percentile, one aggregation counts the rows below and inside
-    each bracket, and brackets are narrowed until at most ``bound`` rows are inside. Only the rows
-    inside are then ranked, after being counted per distinct value. The counts prove that a
-    bracket holds its percentile; one that does not is drawn again from a finer sketch.
+    A coarse sketch brackets each percentile. One aggregation then counts the rows below, at and
+    between the ends of each bracket, which either settles the value or proves that it lies
+    between them; brackets are narrowed until at most ``bound`` rows are left to rank. A value
+    that holds a large share of the rows is always an end of a bracket and never ranked. A
+    bracket that the counts refute is drawn again from a finer sketch.
 
     Every pass reads ``df``, so a stored data set is a better input than the result of a costly
     join.
@@ -125,57 +126,71 @@ def exact_percentiles(
         at = 2 * (i % len(points))
         slot.proposal = (first[f"_s_{slot.column}"] or [])[at : at + 2]
 
-    while todo := [slot for slot in slots if slot.open(bound)]:
-        tests = []
-        for i, slot in enumerate(todo):
-            low, high = slot.proposal
-            tests += [
-                F.count_if(F.col(slot.column) < low).alias(f"b{i}"),
-                F.count_if(F.col(slot.column).between(low, high)).alias(f"i{i}"),
-            ]
+    while todo := [slot for slot in slots if slot.inside > bound]:
+        tests = [
+            test.alias(f"{name}{i}")
+            for i, slot in enumerate(todo)
+            for name, test in slot.tests().items()
+        ]
         counts = df.agg(*tests).first()
         for i, slot in enumerate(todo):
-            below, inside = counts[f"b{i}"], counts[f"i{i}"]
-            if below < slot.rank <= below + inside:
-                slot.low, slot.high = slot.proposal
-                slot.below, slot.inside = below, inside
-            else:
+            if not slot.settle(*[counts[f"{name}{i}"] for name in slot.tests()]):
                 accuracy *= 10
-        if todo := [slot for slot in todo if slot.open(bound)]:
+        if todo := [slot for slot in todo if slot.inside > bound]:
             narrower = [slot.sketch(accuracy).alias(f"s{i}") for i, slot in enumerate(todo)]
             for slot, proposal in zip(todo, df.agg(*narrower).first()):
                 slot.proposal = proposal
 
-    # A bracket of a single value is that value; a column without values has no percentile.
-    ranked = [slot for slot in slots if slot.inside and (slot.low is None or slot.low < slot.high)]
+    ranked = [slot for slot in slots if slot.inside]
     values = _ranked_values(df, ranked) if ranked else {}
-    found = {(slot.column, slot.point): slot.low for slot in slots}
-    found |= {(ranked[i].column, ranked[i].point): value for i, value in values.items()}
-    return found
+    found = {(slot.column, slot.point): slot.value for slot in slots}
+    return found | {(ranked[i].column, ranked[i].point): value for i, value in values.items()}
 
 
 class _Slot:
-    """One percentile of one column: its rank, and the bracket known to hold it."""
+    """One percentile of one column: its rank, and the open interval known to hold it."""
 
     def __init__(self, column: str, point: float):
         self.column, self.point = column, point
-        self.low = self.high = self.proposal = None
+        self.low = self.high = self.value = self.proposal = None
         self.below = self.inside = self.rank = 0
 
-    def open(self, bound: int) -> bool:
-        return self.inside > bound and (self.low is None or self.low < self.high)
-
     def within(self) -> Column:
         value = F.col(self.column)
-        return value.isNotNull() if self.low is None else value.between(self.low, self.high)
+        if self.low is None:
+            return value.isNotNull()
+        return (value > self.low) & (value < self.high)
 
     def sketch(self, accuracy: int) -> Column:
-        """Values a little below and above the percentile among the rows of the bracket."""
+        """Values a little below and above the percentile among the rows of the interval."""
         share, margin = (self.rank - self.below) / self.inside, 2.0 / accuracy
         ends = [max(0.0, share - margin), min(1.0, share + margin)]
         value = F.when(self.within(), F.col(self.column))
         return F.percentile_approx(value, ends, accuracy)
 
+    def tests(self) -> dict[str, Column]:
+        """Rows below the proposed bracket, at its lower end, between its ends, up to its end."""
+        value, (low, high) = F.col(self.column), self.proposal
+        return {
+            "below": F.count_if(value < low),
+            "low": F.count_if(value == low),
+            "between": F.count_if((value > low) & (value < high)),
+            "all": F.count_if(value <= high),
+        }
+
+    def settle(self, below: int, low: int, between: int, up_to: int) -> bool:
+        """Take over the bracket if the counts allow it; say whether they do."""
+        if not below < self.rank <= up_to:
+            return False
+        if self.rank <= below + low:
+            self.value, self.inside = self.proposal[0], 0
+        elif self.rank > below + low + between:
+            self.value, self.inside = self.proposal[1], 0
+        else:
+            self.low, self.high = self.proposal
+            self.below, self.inside = below + low, between
+        return True
+
 
 def _ranked_values(df: DataFrame, slots: list[_Slot]) -> dict[int, float]:
     """Value at the rank of each slot, found among the rows of its bracket."""
