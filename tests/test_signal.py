@@ -197,6 +197,17 @@ def test_wav_files(spark, tmp_path):
     assert by_content.filter("ok = 1").collect() == by_samples.collect()
 
 
+def test_wav_written_to_a_stream(tmp_path):
+    """Such a file has no true sizes in its header, and may be cut within a sample."""
+    write_wav(tmp_path / "a.wav", tone(440))
+    content = bytearray((tmp_path / "a.wav").read_bytes())
+    whole, rate = signal.decode_pcm16(bytes(content))
+    at = content.index(b"data") + 4
+    content[4:8] = content[at : at + 4] = b"\xff" * 4
+    streamed, same = signal.decode_pcm16(bytes(content) + b"\x01")
+    assert rate == same and np.array_equal(whole, streamed)
+
+
 def test_upload_columns(spark, tmp_path):
     write_wav(tmp_path / "7.low.wav", tone(440, seconds=0.25))
     (tmp_path / "8.low.wav").write_bytes(b"x")

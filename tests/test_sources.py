@@ -29,6 +29,15 @@ def test_ragged_catalogue(spark, tmp_path):
     }
 
 
+def test_quoted_fields(spark, tmp_path):
+    line = '"track_1"\ta\tb\t"x ""y"".mp3"\t1\tgenre---"odd\t"\n'
+    (tmp_path / "q.tsv").write_text(HEADER + line)
+    found = sources.read_catalogue(spark, str(tmp_path)).first()
+    assert (found["TRACK_ID"], found["PATH"]) == ("track_1", 'x "y".mp3')
+    assert found["tags"] == ['genre---"odd', '"']
+    assert found["line"] + "\n" == line
+
+
 def test_header_of_every_file_is_skipped_and_order_kept(spark, tmp_path):
     _write(tmp_path, "a.tsv")
     frame = sources.read_catalogue(spark, _write(tmp_path, "b.tsv"))

@@ -51,13 +51,18 @@ def _map(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
 
 
 def decode_pcm16(content: bytes) -> tuple[np.ndarray, int]:
-    """Samples in [-1, 1) and sample rate of a 16-bit PCM WAV file; channels are averaged."""
+    """Samples in [-1, 1) and sample rate of a 16-bit PCM WAV file; channels are averaged.
+
+    A file written to a stream states no true length; it is read to its last whole frame.
+    """
     with wave.open(io.BytesIO(content)) as source:
         if source.getsampwidth() != 2:
             raise ValueError(f"{8 * source.getsampwidth()}-bit samples")
-        raw = np.frombuffer(source.readframes(source.getnframes()), dtype="<i2")
         channels = source.getnchannels()
-        return raw.reshape(-1, channels).mean(axis=1) / 32768.0, source.getframerate()
+        raw = source.readframes(source.getnframes())
+        whole = len(raw) // (2 * channels) * channels
+        samples = np.frombuffer(raw, dtype="<i2", count=whole)
+        return samples.reshape(-1, channels).mean(axis=1) / 32768.0, source.getframerate()
 
 
 def _open(path: str) -> bytes:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timbrelake.constants import CATALOGUE_FIELDS, MIN_CATALOGUE_FIELDS, PATH_FIELD, SOURCE_SUFFIX
@@ -48,6 +48,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _fields(line: Column) -> Column:
+    """Tab-separated fields; a field in quotes loses them."""
+    fields = F.split(line, "\t")
+    bare = F.transform(
+        fields,
+        lambda f: F.when(
+            f.rlike('^".*"$') & (F.length(f) > 1),
+            F.replace(F.substring(f, 2, F.length(f) - 2), F.lit('""'), F.lit('"')),
+        ).otherwise(f),
+    )
+    return F.when(line.contains('"'), bare).otherwise(fields)
+
+
 def header_of(spark: SparkSession, path: str) -> str:
     """Header line of a file or of the first of several files."""
     return spark.read.text(path).first()["value"]
@@ -68,7 +81,7 @@ def read_catalogue(
     ]
     return (
         read_lines(spark, path)
-        .withColumn("fields", F.split("line", "\t"))
+        .withColumn("fields", _fields(F.col("line")))
         .filter(F.size("fields") >= min_fields)
         .select(
             *columns,
@@ -85,7 +98,7 @@ def catalogue_paths(
     """Path field of every line long enough to have one, with its suffix exchanged."""
     return (
         read_lines(spark, path)
-        .withColumn("fields", F.split("line", "\t"))
+        .withColumn("fields", _fields(F.col("line")))
         .filter(F.size("fields") >= field)
         .select(swap_suffix(F.col("fields")[field - 1], suffix).alias("path"))
     )
