@@ -208,6 +208,15 @@ def test_wav_written_to_a_stream(tmp_path):
     assert rate == same and np.array_equal(whole, streamed)
 
 
+def test_files_with_odd_names(spark, tmp_path):
+    for name in ("a b.wav", "é%20#1.wav", "c+d@e.wav"):
+        write_wav(tmp_path / name, tone(440, seconds=0.1))
+    found = signal.extract_features(sources.list_files(spark, str(tmp_path)), "path")
+    assert [r["ok"] for r in found.select("ok").collect()] == [1, 1, 1]
+    bare = spark.createDataFrame([(str(tmp_path / "a b.wav"),), ("/no/such.wav",)], "path STRING")
+    assert sorted(r["ok"] for r in signal.extract_features(bare, "path").collect()) == [0, 1]
+
+
 def test_upload_columns(spark, tmp_path):
     write_wav(tmp_path / "7.low.wav", tone(440, seconds=0.25))
     (tmp_path / "8.low.wav").write_bytes(b"x")

@@ -13,6 +13,7 @@ import io
 import re
 import wave
 from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -65,12 +66,15 @@ def decode_pcm16(content: bytes) -> tuple[np.ndarray, int]:
         return samples.reshape(-1, channels).mean(axis=1) / 32768.0, source.getframerate()
 
 
-def _open(path: str) -> bytes:
+def _read(path: str) -> bytes:
+    """Content of a file as Spark lists it: a local path, or the address of a file store."""
+    if path.startswith(("file:", "/")):
+        with open(re.sub("^file:/+", "/", path), "rb") as stream:
+            return stream.read()
     from pyarrow.fs import FileSystem
 
-    uri = re.sub("^file:/+", "file:///", path) if path.startswith("file:") else path
-    system, local = FileSystem.from_uri(uri)
-    with system.open_input_stream(local) as stream:
+    system, name = FileSystem.from_uri(quote(path, safe=":/@"))
+    with system.open_input_stream(name) as stream:
         return stream.read()
 
 
@@ -93,7 +97,7 @@ def _signals(batch: pa.RecordBatch) -> Iterator[Callable[[], tuple[np.ndarray, i
             yield lambda content=content: decode_pcm16(content.as_py())
     else:
         for path in batch.column("path"):
-            yield lambda path=path: decode_pcm16(_open(path.as_py()))
+            yield lambda path=path: decode_pcm16(_read(path.as_py()))
 
 
 def decode_wav(files: DataFrame) -> DataFrame:
