@@ -33,8 +33,8 @@ class SignalConfig:
     slowest_bpm: float = 30.0
     fastest_bpm: float = 300.0
     min_samples: int = MIN_SAMPLES
-    # Values per block of frames and samples per chunk of signals: some tens of MB each.
-    block_values: int = 2**21
+    # Values per block of frames, and samples per chunk of signals: 2 MB and 30 MB.
+    block_values: int = 2**18
     chunk_samples: int = 4_000_000
 
 
@@ -105,10 +105,11 @@ def _contrast(S: np.ndarray, cfg: SignalConfig, bands: list[np.ndarray]) -> np.n
     out = np.zeros((len(S), len(bands)))
     for i, band in enumerate(bands):
         if len(band):
-            ordered = np.sort(S[:, band], axis=1)
             m = max(1, int(np.floor(cfg.contrast_share * len(band) + 0.5)))
-            peak = np.maximum(ordered[:, -m:].mean(axis=1), _FLOOR)
-            valley = np.maximum(ordered[:, :m].mean(axis=1), _FLOOR)
+            # Only the m smallest and the m largest have to be in place, not sorted.
+            parted = np.partition(S[:, band], sorted({m - 1, len(band) - m}), axis=1)
+            peak = np.maximum(parted[:, -m:].mean(axis=1), _FLOOR)
+            valley = np.maximum(parted[:, :m].mean(axis=1), _FLOOR)
             out[:, i] = 10.0 * (np.log10(peak) - np.log10(valley))
     return out
 
@@ -144,12 +145,12 @@ def _block(
     power = S * S
     centroid = _ratio(S @ freqs, total)
     offset = (freqs[None, :] - centroid[:, None]) ** 2
-    floor = np.maximum(power, _FLOOR)
+    audible = np.maximum(S, 1e-5)
+    level = np.log(audible)
     reached = np.cumsum(S, axis=1) >= cfg.rolloff * total[:, None]
     chroma = power @ t["pitch"]
     chroma = _ratio(chroma, np.broadcast_to(chroma.max(axis=1, keepdims=True), chroma.shape))
     unit = _ratio(chroma, np.broadcast_to(chroma.sum(axis=1, keepdims=True), chroma.shape))
-    level = np.log(np.maximum(S, 1e-5))
     earlier = np.vstack([level[:1] if before is None else before, level[:-1]])
     earlier[heads] = level[heads]
     positive = frames >= 0
@@ -158,7 +159,8 @@ def _block(
         "centroid": centroid,
         "bandwidth": np.sqrt(_ratio((S * offset).sum(axis=1), total)),
         "rolloff": freqs[np.argmax(reached, axis=1)],
-        "flatness": np.exp(np.log(floor).mean(axis=1)) / floor.mean(axis=1),
+        # Geometric over arithmetic mean of the power; its floor 1e-10 is that of S squared.
+        "flatness": np.exp(2.0 * level.mean(axis=1)) / (audible * audible).mean(axis=1),
         "contrast": _contrast(S, cfg, t["bands"]),
         "onset": np.maximum(0.0, level - earlier).mean(axis=1),
         "chroma": chroma,
