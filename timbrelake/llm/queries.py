@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timbrelake.llm import near_dedup
+from timbrelake.llm import near_dedup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
