@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timbrelake.llm import near_dedup, packing
+from timbrelake.llm import decontamination, line_dedup, near_dedup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,3 +41,16 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
+
+
+@query()
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages that stand in an earlier place already."""
+    kept = line_dedup.deduplicate_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "text", "removed_chunks", "removed_words")
+
+
+@query()
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
