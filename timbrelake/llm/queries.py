@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timbrelake.llm import decontamination, line_dedup, near_dedup, packing
+from timbrelake.llm import decontamination, line_dedup, near_dedup, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +54,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that it holds."""
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
