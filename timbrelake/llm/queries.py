@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timbrelake.llm import decontamination, line_dedup, near_dedup, packing, toxicity
+from timbrelake.llm import decontamination, licenses, line_dedup, near_dedup, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,3 +60,9 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and detections of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
