@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timbrelake.llm import decontamination, licenses, line_dedup, near_dedup, packing, toxicity
+from timbrelake.llm import decontamination, licenses, line_dedup, near_dedup, packing, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,3 +66,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and detections of every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find(table(spark, sf_dir, "documents"))
