@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from timbrelake.llm import decontamination, licenses, line_dedup, near_dedup, packing, pii, toxicity
+from timbrelake.llm import decontamination, licenses, line_dedup, near_dedup, packing, pii, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -72,3 +73,13 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards whose numbers of rows differ by one at most."""
+    placed = sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), 8)
+    return placed.select(
+        "doc_id", sharding.text_size(F.col("text")).alias("size"), sharding.text_crc32(F.col("text")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
