@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timbrelake.llm import decontamination, licenses, line_dedup, near_dedup, packing, pii, sharding, toxicity
+from timbrelake.llm import decontamination, licenses, line_dedup, near_dedup, packing, pii, sharding, toxicity, warc
+from timbrelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -83,3 +84,21 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", sharding.text_size(F.col("text")).alias("size"), sharding.text_crc32(F.col("text")).alias("text_crc32"),
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query(
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    s AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS digest, html FROM p),
+    f AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM s)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+           CASE WHEN n >= 1000 AND top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 1000 AND top <> page_id THEN top END AS refers_to
+    FROM f
+    """
+)
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path)
