@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timbrelake.llm import decontamination, licenses, line_dedup, near_dedup, packing, pii, sharding, toxicity, warc
+from timbrelake.llm import decontamination, licenses, line_dedup, near_dedup, packing, pii, sharding, topk_search, toxicity, warc
 from timbrelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,26 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
     return warc.read(spark, path)
+
+
+@query(
+    """
+    WITH raw AS (
+        SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS d
+        FROM embeddings WHERE embedding IS NOT NULL
+    ),
+    parts AS (SELECT vec_id, d, CAST(floor(64 * x) AS BIGINT) AS x FROM raw),
+    scores AS (
+        SELECT q.vec_id AS query_id, p.vec_id, CAST(sum(q.x * p.x) AS BIGINT) AS score
+        FROM parts q JOIN parts p ON q.d = p.d AND q.vec_id <> p.vec_id
+        WHERE q.vec_id % 20 = 0 GROUP BY 1, 2
+    ),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores
+    )
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """
+)
+def op1_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors of every twentieth one."""
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"))
