@@ -61,16 +61,22 @@ def slice_fingerprints(texts: list[bytes], width: int = WIDTH) -> np.ndarray:
     return out
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """Rows with a number of their own, ``_uid``, which a table gives again whenever it is read."""
+    return docs.withColumn("_uid", F.monotonically_increasing_id())
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)`` for each row, fp the fingerprint's bits as a long."""
+    """``(uid, doc_id, fp)`` for each row of :func:`identified`, fp the fingerprint's bits as a long."""
 
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for start, texts in slices(batch):
             fp = slice_fingerprints(texts).view(np.int64)
-            yield pa.record_batch([batch.column("doc_id").slice(start, len(texts)), pa.array(fp)], ["doc_id", "fp"])
+            ids = [batch.column(c).slice(start, len(texts)) for c in ("_uid", "doc_id")]
+            yield pa.record_batch([*ids, pa.array(fp)], ["uid", "doc_id", "fp"])
 
     ship_package(docs.sparkSession)
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), of, "doc_id long, fp long")
+    return arrow_map(docs.select("_uid", F.col("doc_id").cast("long").alias("doc_id"), "text"), of, "uid long, doc_id long, fp long")
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -240,15 +246,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Extra columns are ignored, an empty table gives no rows. Equal fingerprints are one node, so
     groups of copies cost one comparison. Fingerprints are written to the shared folder once.
     """
+    table, rooted = _rooted(identified(docs.select("doc_id", "text")))
+    named = rooted.groupBy("root").agg(F.min("least.doc_id").alias("component_id"))
+    classes = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
+    return table.join(classes, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _rooted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The written table of fingerprints, and each distinct one with its first row and its root."""
     spark = docs.sparkSession
     path = scratch_path(spark, "fingerprints")
     fingerprints(docs).write.parquet(path)
     table = spark.read.parquet(path)
-    nodes = table.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "uid")).alias("least")
+    nodes = table.groupBy("fp").agg(first)
     roots = connected_components(links(nodes.select("fp")))
-    rooted = nodes.join(roots, F.col("node") == F.col("fp"), "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return table.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    rooted = nodes.join(roots, F.col("node") == F.col("fp"), "left")
+    return table, rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Of each near-duplicate group the row with the least doc_id (nulls last), all columns kept.
+
+    Groups are those of :func:`near_duplicates`; of equal doc_ids the first row stays. Texts are
+    shuffled once, to keep the rows that were chosen.
+    """
+    rows = identified(docs)
+    _, rooted = _rooted(rows)
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.uid").alias("_uid"))
+    return rows.join(kept, "_uid", "left_semi").select(*(f"`{c}`" for c in docs.columns))

@@ -229,8 +229,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> Classi
     return Classifier(known[chosen][order], model.coefficients.toArray()[order], float(model.intercept))
 
 
-def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """The rows of ``docs`` with a column ``score`` behind theirs; a text decides alone."""
+def score(docs: DataFrame, classifier: Classifier, name: str = "score") -> DataFrame:
+    """The rows of ``docs`` with their score behind the other columns; a text decides alone."""
     patterns = Patterns(classifier.known)
 
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -239,11 +239,10 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
             text, number = patterns.of(texts, hashes)
             total = np.bincount(text, classifier.weights[number], len(texts)) if len(text) else np.zeros(len(texts))
             out.append(1 / (1 + np.exp(-np.clip(total + classifier.intercept, -700, 700))))
-        names = [n for n in batch.schema.names]
-        yield pa.record_batch([*batch.columns, pa.array(np.concatenate(out))], [*names, "score"])
+        yield pa.record_batch([*batch.columns, pa.array(np.concatenate(out))], [*batch.schema.names, name])
 
     ship_package(docs.sparkSession)
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", score double"
+    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + f", {name} double"
     return arrow_map(docs, of, schema)
 
 
@@ -264,5 +263,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, thre
 
 def without_toxic(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, all columns kept."""
-    plain = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
-    return score(plain, fit(docs, labels, most)).where(F.col("score") < threshold).select("row.*")
+    scored = score(docs, fit(docs, labels, most), "_score").where(F.col("_score") < threshold)
+    return scored.select(*(f"`{c}`" for c in docs.columns))
