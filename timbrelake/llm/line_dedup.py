@@ -9,11 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timbrelake.llm.text import NOT_BLANK, SLICE_BYTES, WordHashes, bounds, mixed
+from timbrelake.llm.text import NOT_BLANK, SLICE_BYTES, WordHashes, bounds
 from timbrelake.session import scratch_path, ship_package
 
-#: One in how many places among lines is a boundary; the rolling hash spans two lines.
-BOUNDARY = 2
 #: A paragraph of this many words is bounded by its own ends, whatever stands around it.
 LONG = 50
 #: Repeated chunks are removed where they make a run of this many words or more.
@@ -26,11 +24,11 @@ class Chunks:
     """Chunks of lines of some texts; those of text t are ``first[t]`` to ``first[t + 1]``.
 
     A line is what stands between newlines, cut further where blanks follow ``.``, ``!`` or ``?``;
-    blanks around it do not belong to it. A boundary stands behind a line if the rolling hash over
-    it and the line before is even and the one before that is not, so that chunks have two lines
-    or more; also at the ends of a text, and around a paragraph (what stands between newlines) of
-    50 words or more. All but the ends of texts depend on nearby lines only, so what is inserted
-    before a passage moves no boundary inside of it.
+    blanks around it do not belong to it. A boundary stands behind a line whose hash is the least
+    of a rolling window of three lines, with it in the middle, so that chunks have two lines or
+    more and three on average; also at the ends of a text, and around a paragraph (what stands
+    between newlines) of 50 words or more. All but the ends of texts depend on adjoining lines
+    only, so what is inserted before a passage moves no boundary inside of it.
     """
 
     def __init__(self, texts: list[bytes], hashes: WordHashes) -> None:
@@ -51,9 +49,8 @@ class Chunks:
         words = np.diff(np.append(np.searchsorted(word_starts, starts), len(word_starts)))
         h = hashes(data, starts, ends)
         new_text = np.append(True, text[1:] != text[:-1]) if some else np.empty(0, bool)
-        before = np.where(new_text, np.uint64(0), np.roll(h, 1))
-        close = mixed(before * np.uint64(0x9E3779B97F4A7C15) + h) % np.uint64(BOUNDARY) == 0
-        close[1:] &= new_text[1:] | ~close[:-1].copy()
+        close = np.zeros(len(h), bool)
+        close[1:-1] = (h[1:-1] < h[:-2]) & (h[1:-1] < h[2:]) & ~new_text[1:-1] & ~new_text[2:]
         own = newlines[starts]
         part = np.cumsum(np.append(False, own[1:] != own[:-1])) if some else own
         total = np.bincount(part, words)[part] if some else own
