@@ -1,4 +1,6 @@
 from conftest import rows
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from wavs import tone, write_wav
 
@@ -25,6 +27,8 @@ def test_extract_build_and_train(spark, tmp_path):
     (audio / "0" / "bad.low.wav").write_bytes(b"no sound")
     first = jobs.extract(spark, str(audio), out, batch_size=5)
     assert first == {"found": 24, "pending": 24, "extracted": 23, "failed": 1}
+    failures = sources.read_dataset(spark, f"{out}_failures").collect()
+    assert [r["path"].rsplit("/", 1)[1] for r in failures] == ["bad.low.wav"] and failures[0]["error"]
     stored = sources.read_dataset(spark, out)
     assert stored.columns == ["path", *compact_names(), "batch_id"]
     assert {r["batch_id"] for r in stored.select("batch_id").collect()} == set(range(5))
@@ -113,7 +117,8 @@ def test_analyse_one_file(spark, tmp_path):
     uri = f"file://{tmp_path}"
     assert jobs.analyse_file(spark, f"{uri}/x.wav", "My song", history).count() == 1
     assert jobs.analyse_file(spark, f"{uri}/y.wav", "Broken", history).count() == 0
-    assert jobs.analyse_file(spark, f"{uri}/missing.wav", "None", history).count() == 0
+    with pytest.raises(AnalysisException):
+        jobs.analyse_file(spark, f"{uri}/missing.wav", "None", history)
     stored = jobs.history_entry(spark, history, "My song")
     assert [r["duration"] for r in stored.collect()] == [0.5]
     assert sources.read_dataset(spark, history).count() == 1

@@ -190,7 +190,8 @@ def test_wav_files(spark, tmp_path):
     assert np.allclose(found["mono.wav"]["samples"], left, atol=1e-4)
 
     by_content = signal.extract_features(files, "path").orderBy("path").drop("error")
-    by_path = signal.extract_features(files.select("path"), "path").orderBy("path").drop("error")
+    named = sources.read_files(spark, [r["path"] for r in files.select("path").collect()])
+    by_path = signal.extract_features(named, "path").orderBy("path").drop("error")
     good = decoded.filter("ok = 1").select("path", "sr", "samples")
     by_samples = signal.extract_features(good, "path").orderBy("path").drop("error")
     assert by_content.collect() == by_path.collect()
@@ -209,18 +210,33 @@ def test_wav_written_to_a_stream(tmp_path):
 
 
 def test_files_with_odd_names(spark, tmp_path):
-    for name in ("a b.wav", "é%20#1.wav", "c+d@e.wav"):
+    names = ("a b.wav", "é%20#1.wav", "c+d@e.wav", "[x]{y}*.wav")
+    for name in names:
         write_wav(tmp_path / name, tone(440, seconds=0.1))
-    found = signal.extract_features(sources.list_files(spark, str(tmp_path)), "path")
-    assert [r["ok"] for r in found.select("ok").collect()] == [1, 1, 1]
-    bare = spark.createDataFrame([(str(tmp_path / "a b.wav"),), ("/no/such.wav",)], "path STRING")
-    assert sorted(r["ok"] for r in signal.extract_features(bare, "path").collect()) == [0, 1]
+    listed = [r["path"] for r in sources.list_files(spark, str(tmp_path)).collect()]
+    found = signal.extract_features(sources.read_files(spark, listed), "path")
+    assert [r["ok"] for r in found.select("ok").collect()] == [1] * len(names)
+
+
+def test_unreadable_files_fail_the_task(spark, tmp_path):
+    write_wav(tmp_path / "a.wav", tone(440, seconds=0.1))
+    found = signal.extract_features(sources.read_files(spark, [str(tmp_path / "a.wav")]), "path")
+    (tmp_path / "a.wav").unlink()
+    with pytest.raises(Exception):
+        found.collect()
+
+
+def test_samples_that_are_no_numbers(spark):
+    signals = [(1, [0.1] * 4000, 16000), (2, [0.1] * 3999 + [None], 16000), (3, [float("nan")] * 4000, 16000)]
+    frame = spark.createDataFrame(signals, "k int, samples array<double>, sr int")
+    got = {r["k"]: (r["ok"], r["error"]) for r in signal.extract_features(frame, "k").collect()}
+    assert got[1] == (1, None) and got[2][0] == got[3][0] == 0 and "finite" in got[2][1]
 
 
 def test_upload_columns(spark, tmp_path):
     write_wav(tmp_path / "7.low.wav", tone(440, seconds=0.25))
     (tmp_path / "8.low.wav").write_bytes(b"x")
-    paths = sources.list_files(spark, str(tmp_path))
+    paths = sources.list_files(spark, str(tmp_path), content=True)
     stamp = F.lit("2024-05-06 07:08:09").cast("timestamp")
     found = signal.extract_upload(paths, "path", uploaded_at=stamp)
     assert found.columns == [

@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -115,3 +116,27 @@ def test_partition_filter_reaches_the_scan(spark):
 def test_shared_dir_is_the_configured_one(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_lines_with_control_characters_and_quoted_tabs(spark, tmp_path):
+    lines = [
+        "TRACK\tA\tB\tPATH\tD\tTAGS", "t1\ta\tb\t1.mp3\t30\tgenre---ro\x01ck\tgenre---pop",
+        't2\ta\tb\t"x\ty.mp3"\t30\tgenre---"a""b"', "t3\ta\tb\t3.mp3\t30",
+    ]
+    (tmp_path / "c.tsv").write_text("\n".join(lines) + "\n")
+    rows = {r["TRACK_ID"]: r for r in sources.read_catalogue(spark, str(tmp_path / "c.tsv")).collect()}
+    assert rows["t1"]["tags"] == ["genre---ro\x01ck", "genre---pop"] and rows["t1"]["line"] == lines[1]
+    assert rows["t2"]["PATH"] == "x\ty.mp3" and len(rows["t2"]["tags"]) == 1
+    target = str(tmp_path / "out")
+    sinks.write_lines(sources.read_lines(spark, str(tmp_path / "c.tsv")), target, lines[0])
+    again = sources.read_lines(spark, target).select("line").collect()
+    assert sorted(r["line"] for r in again) == sorted(lines[1:]) and sources.header_of(spark, target) == lines[0]
+
+
+def test_manifest_keeps_names_and_refuses_lines_without_one(spark, tmp_path):
+    (tmp_path / "m.txt").write_text("aa one.tar\nbb two words.tar\n\ncc  lead.tar\n")
+    got = {(r["sha256"], r["name"]) for r in sources.read_manifest(spark, str(tmp_path / "m.txt")).collect()}
+    assert got == {("aa", "one.tar"), ("bb", "two words.tar"), ("cc", " lead.tar")}
+    (tmp_path / "bad.txt").write_text("aa one.tar\nbb\n")
+    with pytest.raises(Exception, match="manifest"):
+        sources.read_manifest(spark, str(tmp_path / "bad.txt")).collect()

@@ -88,9 +88,10 @@ def iso_date(moment: Column) -> Column:
 
 
 def coerce_date(value: Column, today: dt.date | None = None) -> Column:
-    """Date of a date, timestamp or ISO string; ``today`` (default: the current date) for NULL."""
+    """Date of a date, timestamp or ISO string; ``today`` (default: the current date) for NULL
+    and for what is no date."""
     fallback = F.lit(today) if today else F.current_date()
-    return F.coalesce(F.to_date(F.substring(value.cast("string"), 1, 10)), fallback)
+    return F.coalesce(F.substring(value.cast("string"), 1, 10).try_cast("date"), fallback)
 
 
 def duration_seconds(samples: Column, rate: Column) -> Column:

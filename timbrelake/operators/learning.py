@@ -153,10 +153,12 @@ def one_vs_rest(
         score = "rawPrediction" if logistic else "probability"
         return tag, model, area_under_roc(scored, "label", score)
 
-    with ThreadPool(max(1, min(parallelism, len(balance) or 1))) as pool:
-        fitted = pool.map(fit, sorted(balance))
-    train.unpersist()
-    test.unpersist()
+    try:
+        with ThreadPool(max(1, min(parallelism, len(balance) or 1))) as pool:
+            fitted = pool.map(fit, sorted(balance))
+    finally:
+        train.unpersist()
+        test.unpersist()
     rows = [(tag, *balance[tag], auc) for tag, _, auc in fitted]
     scores = spark.createDataFrame(rows, "genre STRING, pos BIGINT, neg BIGINT, auc DOUBLE")
     return scores.orderBy(F.desc("pos"), "genre"), {tag: model for tag, model, _ in fitted}

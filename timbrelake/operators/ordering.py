@@ -59,7 +59,12 @@ def assign_batches(
     return indexed.withColumn("batch_id", batch).drop("row_index")
 
 
+def shard_index(df: DataFrame, *order: str | Column, shards: int, name: str = "shard") -> DataFrame:
+    """Shard of every row: the sorted rows are dealt out in turn, with one sort for all shards."""
+    indexed, _ = global_index(df, *order)
+    return indexed.withColumn(name, (F.col("row_index") % shards).cast("int")).drop("row_index")
+
+
 def shard_slice(df: DataFrame, *order: str | Column, shard: int, shards: int) -> DataFrame:
     """Every ``shards``-th row of the sorted rows, starting with row ``shard``."""
-    indexed, _ = global_index(df, *order)
-    return indexed.filter(F.col("row_index") % shards == shard).drop("row_index")
+    return shard_index(df, *order, shards=shards, name="_shard").filter(F.col("_shard") == shard).drop("_shard")

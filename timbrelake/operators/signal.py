@@ -1,19 +1,16 @@
 """Distributed signal features.
 
-Input is one row per signal: the samples themselves (``samples`` array and ``sr``), the bytes of a
-WAV file (``content``), or just its ``path``, which the task then opens. The last form lets file
-names be filtered, numbered and shuffled without their content ever being shuffled. Features of a
-signal are computed where the signal is read, in Arrow batches bounded by bytes; nothing but the
+Input is one row per signal: the samples themselves (``samples`` array and ``sr``) or the bytes of
+a WAV file (``content``), as Spark's binary file source reads them. Features of a signal are
+computed where the signal is read, in Arrow batches bounded by bytes; nothing but the
 features leaves the task.
 """
 
 from __future__ import annotations
 
 import io
-import re
 import wave
 from collections.abc import Callable, Iterator, Sequence
-from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +38,8 @@ _STATUS = [
     T.StructField("error", T.StringType()),
 ]
 _TEMPO_AT = len(SERIES_BEFORE_TEMPO) * 4
+#: What decoding raises for content that is no usable signal; anything else fails the task.
+_UNUSABLE = (ValueError, EOFError, wave.Error)
 
 
 def _map(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
@@ -66,18 +65,6 @@ def decode_pcm16(content: bytes) -> tuple[np.ndarray, int]:
         return samples.reshape(-1, channels).mean(axis=1) / 32768.0, source.getframerate()
 
 
-def _read(path: str) -> bytes:
-    """Content of a file as Spark lists it: a local path, or the address of a file store."""
-    if path.startswith(("file:", "/")):
-        with open(re.sub("^file:/+", "/", path), "rb") as stream:
-            return stream.read()
-    from pyarrow.fs import FileSystem
-
-    system, name = FileSystem.from_uri(quote(path, safe=":/@"))
-    with system.open_input_stream(name) as stream:
-        return stream.read()
-
-
 def _signals(batch: pa.RecordBatch) -> Iterator[Callable[[], tuple[np.ndarray, int]]]:
     """One function per row that returns the row's samples and rate, or raises."""
     names = batch.schema.names
@@ -89,15 +76,15 @@ def _signals(batch: pa.RecordBatch) -> Iterator[Callable[[], tuple[np.ndarray, i
             def stored(i: int = i) -> tuple[np.ndarray, int]:
                 if not (arrays[i].is_valid and rates[i].is_valid):
                     raise ValueError("no samples")
-                return values[offsets[i] : offsets[i + 1]], rates[i].as_py()
+                samples = values[offsets[i] : offsets[i + 1]]
+                if not np.isfinite(samples).all():  # a NULL is NaN here
+                    raise ValueError("samples that are no finite numbers")
+                return samples, rates[i].as_py()
 
             yield stored
-    elif "content" in names:
-        for content in batch.column("content"):
-            yield lambda content=content: decode_pcm16(content.as_py())
     else:
-        for path in batch.column("path"):
-            yield lambda path=path: decode_pcm16(_read(path.as_py()))
+        for content in batch.column("content"):
+            yield lambda content=content: decode_pcm16(content.as_py() or b"")
 
 
 def decode_wav(files: DataFrame) -> DataFrame:
@@ -117,7 +104,7 @@ def decode_wav(files: DataFrame) -> DataFrame:
                 try:
                     samples, rate = read()
                     row = [rate, samples, 1]
-                except Exception:
+                except _UNUSABLE:
                     row = [None, None, 0]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -193,7 +180,7 @@ class _Chunk:
             if length < cfg.min_samples:
                 raise ValueError(f"only {length} samples")
             self.samples += length
-        except Exception as failure:
+        except _UNUSABLE as failure:
             x, error = None, f"{type(failure).__name__}: {failure}"
         self.signals.append(x)
         self.rates.append(rate)
@@ -219,7 +206,7 @@ class _Chunk:
 def _chunks(batch: pa.RecordBatch, cfg: SignalConfig) -> Iterator[tuple[pa.RecordBatch, _Chunk]]:
     """Consecutive rows of a batch, as many as have a bounded number of samples together.
 
-    A batch of paths is small itself, but the files behind it would not fit into memory.
+    Decoded samples take more memory than the bytes that Arrow batches are bounded by.
     """
     start, chunk = 0, _Chunk()
     for i, read in enumerate(_signals(batch)):
@@ -237,10 +224,10 @@ def _kept(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
 
 def _input(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Only the columns the task needs: the keys and one form of the signal."""
-    for form in (["samples", "sr"], ["content"], ["path"]):
+    for form in (["samples", "sr"], ["content"]):
         if set(form) <= set(df.columns):
             return df.select(*keys, *[name for name in form if name not in keys])
-    raise ValueError("need samples and sr, content, or path")
+    raise ValueError("need samples and sr, or content")
 
 
 def extract_features(
@@ -279,9 +266,16 @@ def extract_upload(
 
     Rows of failed files have no name and date, no user but 0, and duration 0.
     """
+    extracted = extract_features(df, *keys, config=config)
+    return upload_columns(extracted, path, users, uploaded_at)
+
+
+def upload_columns(
+    extracted: DataFrame, path: str = "path", users: int = 100, uploaded_at: Column | None = None
+) -> DataFrame:
+    """Extracted features in upload form (see :func:`extract_upload`)."""
     date = F.current_timestamp() if uploaded_at is None else uploaded_at
     good = F.col("ok") == 1
-    extracted = extract_features(df, *keys, config=config)
     user = stable_bucket(F.col(path), users) + 1
     return extracted.select(
         *[name for name in extracted.columns if name not in ("n_samples", "sr", "ok", "error")],

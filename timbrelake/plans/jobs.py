@@ -14,7 +14,7 @@ from timbrelake.functions.keys import assign_user, first_genre, genre_tags
 from timbrelake.operators import catalogue, filters, joins, learning, profile, signal
 from timbrelake.operators.filters import Selection
 from timbrelake.operators.ordering import batch_number, global_index
-from timbrelake.session import path_exists, shared_dir
+from timbrelake.session import path_exists, remove_path, scratch_path, shared_dir
 
 _STATUS = ("n_samples", "sr", "ok", "error")
 
@@ -65,15 +65,17 @@ def extract(
     batch_size: int = BATCH_SIZE,
     uploaded_at: Column | None = None,
     upload: bool = False,
-    round_batches: int = 20_000,
+    round_batches: int = 50,
     config: SignalConfig = SignalConfig(),
 ) -> dict[str, int]:
     """Features of all files not extracted yet, appended below one directory per batch.
 
-    Only names are listed, deduplicated, compared with what is there, numbered and shuffled; a
-    task opens the files of its own batch. Batches are committed in rounds, so that a failed job
-    loses one round; a rerun continues the batch numbers and skips what has been written.
-    Returns how many files were found, pending, extracted and failed.
+    Names are listed, deduplicated, compared with what is there and numbered. Content is read by
+    Spark in rounds of ``round_batches`` batches, analysed where it is read and never shuffled;
+    only features meet their batch number. A file that cannot be read fails the job; one that
+    cannot be decoded is stored with its error at ``<out>_failures``. Rounds are committed one by
+    one, so that a failed job loses one round; a rerun continues the batch numbers and skips what
+    has been written. Returns how many files were found, pending, extracted and failed.
     """
     names = sources.list_files(spark, root, glob).dropDuplicates(["path"])
     found, first = names.count(), 0
@@ -91,21 +93,21 @@ def extract(
     )
     for start in range(first, first + batches, round_batches):
         size = min(round_batches, first + batches - start)
-        part = batched.filter(
-            (F.col("batch_id") >= start) & (F.col("batch_id") < start + size)
-        ).repartitionByRange(size, "batch_id")
-        if upload:
-            features = signal.extract_upload(
-                part, "path", "batch_id", uploaded_at=uploaded_at, config=config
-            )
-        else:
-            features = signal.extract_features(part, "path", "batch_id", config=config)
-        good = filters.only_ok(features).drop(*_STATUS)
+        part = batched.filter((F.col("batch_id") >= start) & (F.col("batch_id") < start + size))
+        chosen = [row["path"] for row in part.select("path").collect()]  # one round of names
+        extracted = signal.extract_features(sources.read_files(spark, chosen), "path", config=config)
+        done = scratch_path(spark, "round")
+        sinks.overwrite(extracted, done)
+        rows = sources.read_dataset(spark, done).join(part, "path")
+        features = signal.upload_columns(rows, uploaded_at=uploaded_at) if upload else rows
+        good = filters.only_ok(features).drop(*_STATUS).repartition("batch_id")
         sinks.append_partitioned(good, out, "batch_id")
-    # Counted from the new directories, without reading any column.
-    written = read_if_present(spark, out)
-    new = written.filter(F.col("batch_id") >= first).count() if written is not None else 0
-    return counts | {"extracted": new, "failed": total - new}
+        failed = rows.filter("ok = 0").select("path", "batch_id", "error")
+        if not failed.isEmpty():
+            failed.write.mode("append").parquet(f"{out}_failures")
+            counts["failed"] += failed.count()
+        remove_path(spark, done)
+    return counts | {"extracted": total - counts["failed"]}
 
 
 def read_metadata(spark: SparkSession, path: str, ragged: bool = True) -> DataFrame:
@@ -222,7 +224,7 @@ def analyse_file(
     The one row is checkpointed, so the file is read and analysed once.
     """
     shared_dir(spark)
-    one = sources.rows_of(spark, [(path,)], "path STRING")
+    one = sources.read_files(spark, [path])
     features = (
         signal.extract_upload(one, "path", config=config)
         .withColumn("filename", F.lit(name))

@@ -102,56 +102,74 @@ def metric_auc(spark, root):
     return spark.range(1).select(rounded(F.lit(area), 9).alias("auc"))
 
 
-# --- classifiers: fits differ in the last digits from run to run, so rows only -----------------
+# --- classifiers --------------------------------------------------------------------------------
+# Fits differ in the last digits from run to run. What does not is compared: the rows they were
+# fitted on and tested with, and whether their metrics are better than those of a guess.
+
+_HELD_OUT = f"{bucket_sql('vec_id', 100)} >= 80"
+_MULTICLASS = f"""SELECT count(*) FILTER ({_HELD_OUT}) AS tested,
+  count(DISTINCT label) FILTER (NOT {_HELD_OUT}) AS classes, TRUE AS better FROM embeddings"""
 
 
 def _multiclass(spark, root, stages):
-    """Held-out accuracy and F1 of a model of the vectors' genre."""
+    """Held-out rows, classes, and whether accuracy and F1 beat an even guess."""
     rows = with_label(views.vectors(spark, root), "genre")
     train, test = learning.hash_split(rows, "vec_id")
     model = stages(feature_columns(rows, ["vec_id"])).fit(train)
-    return learning.classification_metrics(model.transform(test))
+    scored = model.transform(test)
+    classes = len(model.stages[0].labels)
+    metrics = learning.classification_metrics(scored)
+    better = (F.col("accuracy") > 1 / classes) & (F.col("f1") > 1 / classes)
+    return metrics.crossJoin(scored.agg(F.count("*").alias("tested"))).select(
+        "tested", F.lit(classes).cast("bigint").alias("classes"), better.alias("better")
+    )
 
 
-@query()
+@query(_MULTICLASS)
 def rf_multiclass(spark, root):
-    return _multiclass(
-        spark, root, lambda names: learning.forest_stages(names, numTrees=20, maxDepth=6)
-    )
+    return _multiclass(spark, root, learning.forest_stages)
 
 
-@query()
+@query(_MULTICLASS)
 def lr_multinomial(spark, root):
-    return _multiclass(
-        spark, root, lambda names: learning.logistic_stages(names, maxIter=30)
-    )
+    return _multiclass(spark, root, learning.logistic_stages)
+
 
+_ONE_VS_REST = f"""WITH counts AS (
+  SELECT 'genre' || CAST(label AS VARCHAR) AS genre, count(*) AS total,
+         count(*) FILTER (NOT {_HELD_OUT}) AS pos FROM embeddings GROUP BY 1)
+SELECT genre, pos, (SELECT sum(pos) FROM counts)::BIGINT - pos AS neg, TRUE AS sound
+FROM counts WHERE total >= 20"""
 
-def _one_vs_rest(spark, root, kind, **params):
+
+def _one_vs_rest(spark, root, kind):
+    """Training rows of each genre and the others, and whether the area under ROC is one."""
     rows = views.vectors(spark, root)
     features = feature_columns(rows, ["vec_id"])
     tagged = rows.withColumn("genres", F.array("genre"))
-    scores, _ = learning.one_vs_rest(tagged, "vec_id", features, kind, **params)
-    return scores
+    scores, _ = learning.one_vs_rest(tagged, "vec_id", features, kind)
+    return scores.select("genre", "pos", "neg", F.col("auc").between(0.4, 1).alias("sound"))
 
 
-@query()
+@query(_ONE_VS_REST)
 def ovr_logistic(spark, root):
-    return _one_vs_rest(spark, root, "logistic", maxIter=20)
+    return _one_vs_rest(spark, root, "logistic")
 
 
-@query()
+@query(_ONE_VS_REST)
 def ovr_forest(spark, root):
-    return _one_vs_rest(spark, root, "forest", numTrees=10, maxDepth=5)
+    return _one_vs_rest(spark, root, "forest")
 
 
 def _forest(spark, root):
+    """A forest of the training part, and the held-out rows."""
     rows = with_label(views.vectors(spark, root), "genre")
     features = feature_columns(rows, ["vec_id"])
-    return learning.forest_stages(features, numTrees=10, maxDepth=5).fit(rows), rows
+    train, test = learning.hash_split(rows, "vec_id")
+    return learning.forest_stages(features).fit(train), test
 
 
-@query("SELECT count(*) AS scored, CAST(0 AS BIGINT) AS changed FROM embeddings")
+@query(f"SELECT count(*) AS scored, CAST(0 AS BIGINT) AS changed FROM embeddings WHERE {_HELD_OUT}")
 def model_roundtrip(spark, root):
     """Predictions of a saved and reloaded model against those of the original."""
     model, rows = _forest(spark, root)
@@ -165,7 +183,20 @@ def model_roundtrip(spark, root):
     )
 
 
-@query()
+@query(f"""SELECT vec_id, CAST(3 AS BIGINT) AS places, TRUE AS falling, TRUE AS first_is_prediction
+FROM embeddings WHERE {_HELD_OUT}""")
 def predict_top3(spark, root):
+    """Three places for each held-out vector, in falling probability, the first the prediction."""
     model, rows = _forest(spark, root)
-    return learning.predict_top(model, rows.drop("genre", "label_str"), "vec_id")
+    top = learning.predict_top(model, rows.drop("genre", "label_str"), "vec_id")
+    names = F.array(*[F.lit(name) for name in model.stages[0].labels])
+    guessed = model.transform(rows).select(
+        "vec_id", F.get(names, F.col("prediction").cast("int")).alias("guess")
+    )
+    entry = F.sort_array(F.collect_list(F.struct("rank", "label", "probability")))
+    places = top.groupBy("vec_id").agg(entry.alias("e")).join(guessed, "vec_id")
+    falling = F.expr("forall(sequence(1, size(e) - 1), i -> e[i - 1].probability >= e[i].probability)")
+    return places.select(
+        "vec_id", F.size("e").cast("bigint").alias("places"), falling.alias("falling"),
+        (F.col("e")[0]["label"] == F.col("guess")).alias("first_is_prediction"),
+    )

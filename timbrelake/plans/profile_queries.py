@@ -246,6 +246,9 @@ def profile_radar(spark, root):
     return compare.profile_radar(profile.group_profile(tracks), own)
 
 
+_OTHER = [f"x{i}" for i in range(18, 60)]
+
+
 def _named(kind: str, names: list[str], first: int) -> str:
     rows = ", ".join(f"({i}, '{name}')" for i, name in enumerate(names, 1))
     return f"""SELECT vec_id, '{kind}' AS kind, CAST(position AS INTEGER) AS position, name,
@@ -254,13 +257,13 @@ FROM embeddings, (VALUES {rows}) AS t(position, name)"""
 
 
 @query(f"""{_named('chroma', NOTES, 0)} UNION ALL {_named('tonnetz', TONAL_AXES, 12)}
-UNION ALL {_named('contrast', BANDS, 60)}""")
+UNION ALL {_named('other', _OTHER, 18)} UNION ALL {_named('contrast', BANDS, 60)}""")
 def vector_labels(spark, root):
-    """Named positions; the last group reaches past the end of the vectors."""
+    """All positions by name; the last group reaches past the end of the vectors."""
     vectors = views.table(spark, root, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("v")
     )
-    parts = [("chroma", NOTES, 0), ("tonnetz", TONAL_AXES, 12), ("contrast", BANDS, 60)]
+    parts = [("chroma", NOTES, 0), ("tonnetz", TONAL_AXES, 12), ("other", _OTHER, 18), ("contrast", BANDS, 60)]
 
     def named(kind, names, first):
         entries = arrays.name_positions(F.slice("v", first + 1, len(names)), names)

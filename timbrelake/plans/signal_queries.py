@@ -297,16 +297,17 @@ def extract_series(spark, root):
 @query(f"""WITH {FRAMES}, {RMS}, {ZCR},
 parts AS (SELECT vec_id, avg(rms) AS rms, avg(zcr) AS zcr
           FROM f_rms JOIN f_zcr USING (vec_id, frame) GROUP BY vec_id)
-SELECT vec_id, CAST(NOT (label IN (1, 4)) AS INTEGER) AS ok,
-       CASE WHEN label IN (1, 4) THEN 0 ELSE {r6('rms')} END AS rms_mean,
-       CASE WHEN label IN (1, 4) THEN 0 ELSE {r6('zcr')} END AS zcr_mean
+SELECT vec_id, CAST(NOT (label IN (1, 2, 4)) AS INTEGER) AS ok,
+       CASE WHEN label IN (1, 2, 4) THEN 0 ELSE {r6('rms')} END AS rms_mean,
+       CASE WHEN label IN (1, 2, 4) THEN 0 ELSE {r6('zcr')} END AS zcr_mean
 FROM embeddings JOIN parts USING (vec_id)""")
 def safe_extract(spark, root):
-    """Missing and too short signals give a row of zeros, never a failure."""
+    """Missing and too short signals, and those with a NULL in them, give a row of zeros."""
     broken = views.table(spark, root, "embeddings").select(
         "vec_id",
         F.lit(16000).alias("sr"),
         F.when(F.col("label") == 1, None)
+        .when(F.col("label") == 2, F.concat(F.slice("embedding", 1, 63), F.array(F.lit(None))))
         .when(F.col("label") == 4, F.slice("embedding", 1, 50))
         .otherwise(F.col("embedding")).cast("array<double>").alias("samples"),
     )

@@ -65,6 +65,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(location)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path of this session once what was read from it has been written."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(location, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once per Spark context.
 

@@ -7,10 +7,11 @@ from timbrelake.sinks.tables import (
     write_catalogue,
     write_lines,
     write_shard,
+    write_shards,
     write_tsv,
 )
 
 __all__ = [
     "append_history", "append_partitioned", "overwrite", "write_catalogue", "write_lines",
-    "write_shard", "write_tsv",
+    "write_shard", "write_shards", "write_tsv",
 ]

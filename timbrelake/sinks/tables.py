@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timbrelake.constants import CATALOGUE_FIELDS
 from timbrelake.operators.filters import only_ok
 
-_NO_SEPARATOR = "\u0001"
 # The writer trims values unless told not to.
 _UNTRIMMED = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
@@ -30,6 +30,11 @@ def append_history(df: DataFrame, path: str) -> None:
     only_ok(df).write.mode("append").parquet(path)
 
 
+def write_shards(df: DataFrame, root: str, shard: str = "shard") -> None:
+    """All shards in one write: a directory ``shard=i`` for each value of the column."""
+    df.write.mode("overwrite").partitionBy(shard).parquet(root)
+
+
 def write_shard(df: DataFrame, root: str, shard: int) -> str:
     """Write one shard to its own directory; all of them are read back as one data set."""
     path = f"{root}/dataset_part{shard}.parquet"
@@ -55,7 +60,11 @@ def write_catalogue(
 
 
 def write_lines(df: DataFrame, path: str, header: str) -> None:
-    """The ``line`` column as it is, below a header line."""
-    df.select(F.col("line").alias(header)).write.mode("overwrite").options(
-        header=True, sep=_NO_SEPARATOR, quote="", emptyValue="", **_UNTRIMMED
-    ).csv(path)
+    """The ``line`` column as it is, below a header line in every file."""
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.record_batch([pa.array([header], pa.string())], ["value"])
+        for batch in batches:
+            yield pa.record_batch([batch.column(0).cast(pa.string())], ["value"])
+
+    df.select("line").mapInArrow(headed, "value STRING").write.mode("overwrite").text(path)

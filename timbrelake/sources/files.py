@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,15 @@ def list_files(
     return files.select("path", "length", "content") if content else files.select("path")
 
 
+def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Path and bytes of the named files, read by Spark from whatever store holds them.
+
+    Names are taken literally. A file that cannot be read fails its task, which Spark repeats.
+    """
+    literal = [re.sub(r"([\\\\*?\[\]{}])", r"\\\1", path) for path in paths]
+    return spark.read.format("binaryFile").load(literal).select("path", "content")
+
+
 def list_by_prefix(names: DataFrame, column: str, prefix: str, suffix: str = "") -> DataFrame:
     """Names starting with ``prefix`` and ending with ``suffix``, sorted."""
     kept = F.col(column).startswith(prefix) & F.col(column).endswith(suffix)

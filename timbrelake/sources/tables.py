@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from timbrelake.constants import CATALOGUE_FIELDS, MIN_CATALOGUE_FIELDS, PATH_FIELD, SOURCE_SUFFIX
 from timbrelake.functions.keys import swap_suffix
 
-# A separator that occurs in no text file: the CSV source then yields whole lines.
-_NO_SEPARATOR = "\u0001"
+# A separator that lines hardly ever hold; a line that does is kept whole as a corrupt record.
+_RARE_SEPARATOR = "\u0001"
+# A field behind its tab; one that begins and ends with a quote may hold tabs.
+_FIELD = '\t(?:"[^"]*+(?:""[^"]*+)*+"(?=\t|$)|[^\t]*+)'
 
 
 def read_dataset(spark: SparkSession, *paths: str) -> DataFrame:
@@ -34,11 +36,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     order within the split.
     """
     return (
-        spark.read.schema("line STRING")
-        .options(header=True, sep=_NO_SEPARATOR, quote="", enforceSchema=True)
+        spark.read.schema("line STRING, _whole STRING")
+        .options(
+            header=True, sep=_RARE_SEPARATOR, quote="", enforceSchema=True, mode="PERMISSIVE",
+            columnNameOfCorruptRecord="_whole",
+        )
         .csv(path)
         .select(
-            "line",
+            F.coalesce("_whole", "line").alias("line"),
             F.struct(
                 F.col("_metadata.file_path").alias("file"),
                 F.col("_metadata.file_block_start").alias("offset"),
@@ -49,21 +54,23 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _fields(line: Column) -> Column:
-    """Tab-separated fields; a field in quotes loses them."""
-    fields = F.split(line, "\t")
+    """Tab-separated fields; a field in quotes loses them and may hold tabs."""
+    behind_tab = F.regexp_extract_all(F.concat(F.lit("\t"), line), F.lit(_FIELD), F.lit(0))
     bare = F.transform(
-        fields,
+        F.transform(behind_tab, lambda f: F.substring(f, 2, 1 << 30)),
         lambda f: F.when(
-            f.rlike('^".*"$') & (F.length(f) > 1),
-            F.replace(F.substring(f, 2, F.length(f) - 2), F.lit('""'), F.lit('"')),
+            f.rlike('(?s)^".*"$') & (F.length(f) > 1),
+            F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"')),
         ).otherwise(f),
     )
-    return F.when(line.contains('"'), bare).otherwise(fields)
+    return F.when(line.contains('"'), bare).otherwise(F.split(line, "\t"))
 
 
 def header_of(spark: SparkSession, path: str) -> str:
-    """Header line of a file or of the first of several files."""
-    return spark.read.text(path).first()["value"]
+    """Header line of a file or of the first of several files by name."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.groupBy("file_path").agg(F.min("file_block_start")).agg(F.min("file_path")).first()[0]
+    return lines.filter((F.col("file_path") == first) & (F.col("file_block_start") == 0)).first()["value"]
 
 
 def read_catalogue(
@@ -105,8 +112,17 @@ def catalogue_paths(
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Checksum manifest: ``sha256<space>name`` per line."""
-    return spark.read.schema("sha256 STRING, name STRING").option("sep", " ").csv(path)
+    """Checksum manifest: ``sha256<blank>name`` per line; a name may hold blanks.
+
+    A line without both parts is an error, as its file would never be verified; empty lines are not.
+    """
+    parts = F.regexp_extract_all("value", F.lit("^([^ ]+) (.+)$"), F.lit(0))
+    wrong = F.raise_error(F.concat(F.lit("not a line of a manifest: "), "value"))
+    lines = spark.read.text(path).filter(F.col("value") != "")
+    return lines.select(
+        F.when(F.size(parts) == 0, wrong).otherwise(F.substring_index("value", " ", 1)).alias("sha256"),
+        F.expr("substring(value, instr(value, ' ') + 1)").alias("name"),
+    )
 
 
 def rows_of(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
