@@ -21,7 +21,7 @@ RADIUS = 40
 #: Fingerprints are cut into 16 bytes; within the radius one byte differs in at most two bits.
 BYTES = 16
 #: Bytes of item texts that are held by every task at once; more items go in several passes.
-ITEM_BYTES = 8 << 20
+ITEM_BYTES = 1 << 20
 
 
 def simhash(shingles: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -70,7 +70,7 @@ class Items:
             known.setdefault(width, []).extend(own)
             prints = simhash(np.concatenate(own), np.repeat(np.arange(len(own)), n - width + 1), len(own))
             blocks = prints.view(np.uint8).reshape(len(own), BYTES)
-            reach = [[np.flatnonzero(near[v][blocks[:, b]] <= radius // BYTES) for v in range(256)] for b in range(BYTES)]
+            reach = np.stack([near[:, blocks[:, b]] <= radius // BYTES for b in range(BYTES)])
             self.groups[n] = (np.array(members), prints, reach)
         self.known = {w: np.unique(np.concatenate(x)) for w, x in known.items()}
         self.bitmap = {}
@@ -87,16 +87,17 @@ class Items:
         return hit
 
     def _near(self, prints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pairs of a window and an item of n words whose fingerprints lie in the radius, and their distance."""
+        """Pairs of a window and an item of n words whose fingerprints lie in the radius, and their distance.
+
+        ``reach[b][v]`` marks the items whose byte b differs from v in few enough bits; a pair in the
+        radius is marked for at least one of the sixteen bytes.
+        """
         members, own, reach = self.groups[n]
         blocks = prints.view(np.uint8).reshape(len(prints), BYTES)
-        pairs = [np.empty(0, np.int64)]
+        near = np.zeros((len(prints), len(members)), bool)
         for b in range(BYTES):
-            for v in np.unique(blocks[:, b]):
-                some, there = np.flatnonzero(blocks[:, b] == v), reach[b][v]
-                pairs.append((some[:, None] * len(members) + there[None]).ravel())
-        pair = np.unique(np.concatenate(pairs))
-        w, i = pair // len(members), pair % len(members)
+            near |= reach[b][blocks[:, b]]
+        w, i = np.nonzero(near)
         far = np.bitwise_count(prints[w] ^ own[i]).sum(1, dtype=np.int64)
         ok = far <= self.radius
         return w[ok], members[i[ok]], far[ok]
