@@ -123,7 +123,7 @@ def _multiclass(spark, root, stages):
     metrics = learning.classification_metrics(scored)
     sound = F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1)
     return metrics.select(
-        F.lit(scored.count()).alias("tested"), F.lit(classes).cast("bigint").alias("classes"),
+        F.lit(scored.count()).cast("bigint").alias("tested"), F.lit(classes).cast("bigint").alias("classes"),
         (sound & F.lit(own > 1 / classes)).alias("better"),
     )
 
