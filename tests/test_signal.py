@@ -251,3 +251,16 @@ def test_upload_columns(spark, tmp_path):
 def test_extraction_needs_no_shuffle(spark, root):
     found = signal.extract_features(views.signals(spark, root), "vec_id", config=CONFIG)
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chosen_series_equal_those_of_all():
+    rng = np.random.default_rng(4)
+    signals = [rng.normal(size=n) for n in (5000, 4096, 9000)]
+    cfg = dsp.SignalConfig()
+    whole, counts, tempi = dsp.analyse(signals, 16000, cfg)
+    for group in sorted(dsp.ALL_GROUPS):
+        part, same, beats = dsp.analyse(signals, 16000, cfg, frozenset([group]))
+        columns = [i for i in range(whole.shape[1]) if dsp.groups_of([i]) == {group}]
+        assert columns and counts.tolist() == same.tolist()
+        assert np.allclose(part[:, columns], whole[:, columns], rtol=1e-12)
+        assert beats == (tempi if group == "onset" else [0.0] * 3)

@@ -93,6 +93,12 @@ def frames_of(x: np.ndarray, cfg: SignalConfig) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(x, cfg.n_fft)[:: cfg.hop]
 
 
+#: Groups of series that are computed together.
+ALL_GROUPS = frozenset(
+    ["mel", "centroid", "bandwidth", "rolloff", "flatness", "contrast", "onset", "chroma", "tonnetz", "rms", "zcr"]
+)
+
+
 def spectrum_of(frames: np.ndarray, window: np.ndarray) -> np.ndarray:
     return np.abs(np.fft.rfft(frames * window, axis=1))
 
@@ -136,39 +142,56 @@ def _blocks(
 
 
 def _block(
-    frames: np.ndarray, heads: np.ndarray, before: np.ndarray | None, cfg: SignalConfig, t: dict
+    frames: np.ndarray, heads: np.ndarray, before: np.ndarray | None, cfg: SignalConfig, t: dict,
+    wanted: frozenset[str] = ALL_GROUPS,
 ) -> dict:
-    """Features of consecutive frames; ``before`` is the level of the frame ahead of them."""
+    """Wanted features of consecutive frames; ``before`` is the level of the frame ahead of them.
+
+    What a feature is made from (spectrum, power, level, chroma) is computed only if one that
+    needs it is wanted.
+    """
+    out: dict[str, np.ndarray | None] = {"_last": None}
+    if "rms" in wanted:
+        out["rms"] = np.sqrt((frames * frames).mean(axis=1))
+    if "zcr" in wanted:
+        positive = frames >= 0
+        out["zcr"] = (positive[:, 1:] != positive[:, :-1]).sum(axis=1) / (frames.shape[1] - 1)
+    if wanted <= {"rms", "zcr"}:
+        return out
     freqs = t["freqs"]
     S = spectrum_of(frames, t["window"])
     total = S.sum(axis=1)
-    power = S * S
-    centroid = _ratio(S @ freqs, total)
-    offset = (freqs[None, :] - centroid[:, None]) ** 2
-    audible = np.maximum(S, 1e-5)
-    level = np.log(audible)
-    reached = np.cumsum(S, axis=1) >= cfg.rolloff * total[:, None]
-    chroma = power @ t["pitch"]
-    chroma = _ratio(chroma, np.broadcast_to(chroma.max(axis=1, keepdims=True), chroma.shape))
-    unit = _ratio(chroma, np.broadcast_to(chroma.sum(axis=1, keepdims=True), chroma.shape))
-    earlier = np.vstack([level[:1] if before is None else before, level[:-1]])
-    earlier[heads] = level[heads]
-    positive = frames >= 0
-    return {
-        "mel": power @ t["mel"],
-        "centroid": centroid,
-        "bandwidth": np.sqrt(_ratio((S * offset).sum(axis=1), total)),
-        "rolloff": freqs[np.argmax(reached, axis=1)],
+    if wanted & {"centroid", "bandwidth"}:
+        centroid = out["centroid"] = _ratio(S @ freqs, total)
+        if "bandwidth" in wanted:
+            offset = (freqs[None, :] - centroid[:, None]) ** 2
+            out["bandwidth"] = np.sqrt(_ratio((S * offset).sum(axis=1), total))
+    if "rolloff" in wanted:
+        reached = np.cumsum(S, axis=1) >= cfg.rolloff * total[:, None]
+        out["rolloff"] = freqs[np.argmax(reached, axis=1)]
+    if wanted & {"flatness", "onset"}:
+        audible = np.maximum(S, 1e-5)
+        level = np.log(audible)
         # Geometric over arithmetic mean of the power; its floor 1e-10 is that of S squared.
-        "flatness": np.exp(2.0 * level.mean(axis=1)) / (audible * audible).mean(axis=1),
-        "contrast": _contrast(S, cfg, t["bands"]),
-        "onset": np.maximum(0.0, level - earlier).mean(axis=1),
-        "chroma": chroma,
-        "tonnetz": unit @ t["axes"],
-        "rms": np.sqrt((frames * frames).mean(axis=1)),
-        "zcr": (positive[:, 1:] != positive[:, :-1]).sum(axis=1) / (frames.shape[1] - 1),
-        "_last": level[-1:],
-    }
+        out["flatness"] = np.exp(2.0 * level.mean(axis=1)) / (audible * audible).mean(axis=1)
+        earlier = np.vstack([level[:1] if before is None else before, level[:-1]])
+        earlier[heads] = level[heads]
+        out["onset"] = np.maximum(0.0, level - earlier).mean(axis=1)
+        out["_last"] = level[-1:]
+    if "contrast" in wanted:
+        out["contrast"] = _contrast(S, cfg, t["bands"])
+    if wanted & {"mel", "chroma", "tonnetz"}:
+        power = S * S
+        if "mel" in wanted:
+            out["mel"] = power @ t["mel"]
+        if wanted & {"chroma", "tonnetz"}:
+            chroma = power @ t["pitch"]
+            top = np.broadcast_to(chroma.max(axis=1, keepdims=True), chroma.shape)
+            chroma = out["chroma"] = _ratio(chroma, top)
+            if "tonnetz" in wanted:
+                whole = np.broadcast_to(chroma.sum(axis=1, keepdims=True), chroma.shape)
+                out["tonnetz"] = _ratio(chroma, whole) @ t["axes"]
+    return out
 
 
 def tempo_of(onset: np.ndarray, rate: int, cfg: SignalConfig) -> float:
@@ -188,29 +211,52 @@ _WIDTH = N_MFCC + 4 + N_CONTRAST + 1 + N_CHROMA + N_TONNETZ + 2
 _ONSET_AT = N_MFCC + 4 + N_CONTRAST
 
 
+#: Width of each group of series in the matrix of all of them.
+_WIDTHS = {"contrast": N_CONTRAST, "chroma": N_CHROMA, "tonnetz": N_TONNETZ}
+
+
+def groups_of(columns: Sequence[int]) -> frozenset[str]:
+    """The groups that hold the given columns of the matrix."""
+    names = ["mel"] * N_MFCC
+    for name in _ORDER:
+        names += [name] * _WIDTHS.get(name, 1)
+    return frozenset(names[i] for i in columns)
+
+
 def analyse(
-    signals: Sequence[np.ndarray], rate: int, cfg: SignalConfig
+    signals: Sequence[np.ndarray], rate: int, cfg: SignalConfig, wanted: frozenset[str] = ALL_GROUPS
 ) -> tuple[np.ndarray, np.ndarray, list[float]]:
     """Features of signals of one sample rate.
 
     Returns the matrix of all their frames times the feature series in compact order, the number
-    of frames of each signal, and the tempo of each.
+    of frames of each signal, and the tempo of each. Groups that are not wanted are zero; tempo is
+    zero without onset strength.
     """
     t = tables(cfg, int(rate))
     framed = [frames_of(np.asarray(x, dtype=np.float64), cfg) for x in signals]
     counts = np.array([len(frames) for frames in framed])
     found, before = [], None
     for frames, heads in _blocks(framed, cfg):
-        found.append(_block(frames, heads, before, cfg, t))
+        found.append(_block(frames, heads, before, cfg, t, wanted))
         before = found[-1].pop("_last")
     if not found:
         return np.empty((0, _WIDTH)), counts, [0.0] * len(framed)
     whole = {name: np.concatenate([block[name] for block in found]) for name in found[0]}
-    energy = 10.0 * np.log10(np.maximum(whole["mel"], _FLOOR))
-    some = counts[counts > 0]
-    loudest = np.maximum.reduceat(energy.max(axis=1), np.cumsum(some) - some)
-    mfcc = np.maximum(energy, np.repeat(loudest - cfg.top_db, some)[:, None]) @ t["dct"]
-    matrix = np.column_stack([mfcc, *[whole[name] for name in _ORDER]])
+    matrix = np.zeros((len(next(iter(whole.values()))), _WIDTH))
+    if "mel" in wanted:
+        energy = 10.0 * np.log10(np.maximum(whole["mel"], _FLOOR))
+        some = counts[counts > 0]
+        loudest = np.maximum.reduceat(energy.max(axis=1), np.cumsum(some) - some)
+        floor = np.repeat(loudest - cfg.top_db, some)[:, None]
+        matrix[:, :N_MFCC] = np.maximum(energy, floor) @ t["dct"]
+    at = N_MFCC
+    for name in _ORDER:
+        width = _WIDTHS.get(name, 1)
+        if name in whole:
+            matrix[:, at : at + width] = whole[name].reshape(-1, width)
+        at += width
+    if "onset" not in wanted:
+        return matrix, counts, [0.0] * len(framed)
     onsets = np.split(matrix[:, _ONSET_AT], np.cumsum(counts)[:-1])
     return matrix, counts, [tempo_of(onset, rate, cfg) for onset in onsets]
 

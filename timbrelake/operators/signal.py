@@ -19,7 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from timbrelake.functions.arrays import series_stats
-from timbrelake.functions.dsp import SignalConfig, analyse, spectrum_of, summaries, tables
+from timbrelake.functions.dsp import (
+    ALL_GROUPS,
+    SignalConfig,
+    analyse,
+    groups_of,
+    spectrum_of,
+    summaries,
+    tables,
+)
 from timbrelake.functions.keys import basename, duration_seconds, iso_date, stable_bucket
 from timbrelake.functions.schema import (
     SERIES,
@@ -195,12 +203,14 @@ class _Chunk:
             pa.array(self.errors, pa.string()),
         ]
 
-    def analysed(self, cfg: SignalConfig) -> Iterator[tuple[list[int], tuple]]:
+    def analysed(
+        self, cfg: SignalConfig, wanted: frozenset[str] = ALL_GROUPS
+    ) -> Iterator[tuple[list[int], tuple]]:
         """Features of the good signals, together for all of the same rate, and their rows."""
         good = [i for i, x in enumerate(self.signals) if x is not None]
         for rate in sorted({self.rates[i] for i in good}):
             at = [i for i in good if self.rates[i] == rate]
-            yield at, analyse([self.signals[i] for i in at], rate, cfg)
+            yield at, analyse([self.signals[i] for i in at], rate, cfg, wanted)
 
 
 def _chunks(batch: pa.RecordBatch, cfg: SignalConfig) -> Iterator[tuple[pa.RecordBatch, _Chunk]]:
@@ -323,16 +333,20 @@ def frame_features(
     series: Sequence[str] = tuple(SERIES),
     config: SignalConfig = SignalConfig(),
 ) -> DataFrame:
-    """One row per frame with the chosen series; signals that fail have no frames."""
+    """One row per frame with the chosen series; signals that fail have no frames.
+
+    Only what the chosen series need is computed.
+    """
     kept = _kept(df, keys)
     at = [SERIES.index(name) for name in series]
+    wanted = groups_of(at)
     numbers = [T.StructField(name, T.DoubleType()) for name in series]
     schema = T.StructType([*kept, T.StructField("frame", T.IntegerType()), *numbers])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, chunk in _chunks(batch, config):
-                for good, (matrix, counts, _) in chunk.analysed(config):
+                for good, (matrix, counts, _) in chunk.analysed(config, wanted):
                     owner = pa.array(np.repeat(good, counts))
                     first = np.repeat(np.cumsum(counts) - counts, counts)
                     columns = [rows.column(field.name).take(owner) for field in kept]
@@ -343,6 +357,23 @@ def frame_features(
     return _map(_input(df, keys), run, schema)
 
 
+def tempo(df: DataFrame, *keys: str, config: SignalConfig = SignalConfig()) -> DataFrame:
+    """Tempo of every good signal, from onset strength alone."""
+    kept = _kept(df, keys)
+    schema = T.StructType([*kept, T.StructField("tempo", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, chunk in _chunks(batch, config):
+                for good, (_, _, beats) in chunk.analysed(config, frozenset(["onset"])):
+                    columns = [rows.column(field.name).take(pa.array(good)) for field in kept]
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, pa.array(beats, pa.float64())], names=schema.names
+                    )
+
+    return _map(_input(df, keys), run, schema)
+
+
 def compact_from_series(extracted: DataFrame, *keys: str) -> DataFrame:
     """Compact features from array-valued ones, with Spark's own array functions."""
     stats = extracted.select(

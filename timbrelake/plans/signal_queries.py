@@ -234,7 +234,7 @@ def onset_strength(spark, root):
 
 @query(f"WITH {SPEC}, {ONSET}, {TEMPO} SELECT vec_id, {r6('tempo')} AS tempo FROM tempo")
 def tempo_autocorr(spark, root):
-    found = signal.extract_features(views.signals(spark, root), "vec_id", config=CONFIG)
+    found = signal.tempo(views.signals(spark, root), "vec_id", config=CONFIG)
     return found.selectExpr("vec_id", *six("tempo"))
 
 
