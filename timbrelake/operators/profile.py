@@ -11,7 +11,7 @@ import math
 from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,6 +24,8 @@ from timbrelake.constants import (
     TEMPO_BUCKETS,
     TOP_GROUPS,
 )
+from timbrelake.session import shared_dir
+
 
 def _whole():
     """Window over all rows of a grouped frame."""
@@ -73,10 +75,10 @@ def feature_stats(
     """Mean, sample std, min, max, p10 and p90 of each column as ``column__statistic``: one row.
 
     The percentiles come from one sketch per column of the given accuracy, in the same pass as
-    the rest, or with ``exact`` from :func:`exact_percentiles`.
+    the rest, or with ``exact`` from :func:`exact_percentiles`, whose first pass is shared: then
+    the data is read twice and the result is a row of known values.
     """
     points = {"p10": 0.1, "p90": 0.9}
-    found = exact_percentiles(df, columns, list(points.values())) if exact else {}
     figures = []
     for name in columns:
         figures += [
@@ -85,11 +87,21 @@ def feature_stats(
             F.round(F.min(name), places).alias(f"{name}__min"),
             F.round(F.max(name), places).alias(f"{name}__max"),
         ]
-        sketch = F.percentile_approx(name, list(points.values()), accuracy)
-        for i, (label, point) in enumerate(points.items()):
-            value = F.lit(found[name, point]).cast("double") if exact else sketch[i]
-            figures.append(F.round(value, places).alias(f"{name}__{label}"))
-    return df.agg(*figures)
+        if not exact:
+            sketch = F.percentile_approx(name, list(points.values()), accuracy)
+            for i, label in enumerate(points):
+                figures.append(F.round(sketch[i], places).alias(f"{name}__{label}"))
+    if not exact:
+        return df.agg(*figures)
+    found, first = exact_percentiles(df, columns, list(points.values()), more=figures)
+    kinds = dict(df.agg(*figures).dtypes)
+    values = []
+    for name in columns:
+        values += [F.lit(first[k]).cast(kinds[k]).alias(k) for k in kinds if k.rsplit("__", 1)[0] == name]
+        for label, point in points.items():
+            value = F.lit(found[name, point]).cast("double")
+            values.append(F.round(value, places).alias(f"{name}__{label}"))
+    return df.sparkSession.range(1).select(*values)
 
 
 def exact_percentiles(
@@ -97,124 +109,65 @@ def exact_percentiles(
     columns: Sequence[str],
     points: Sequence[float],
     accuracy: int = 1_000,
-    bound: int = 50_000,
-) -> dict[tuple[str, float], float | None]:
+    more: Sequence[Column] = (),
+) -> tuple[dict[tuple[str, float], float | None], Row]:
     """Exact discrete percentiles: the smallest value with at least ``p * n`` rows up to it.
 
-    A coarse sketch brackets each percentile. One aggregation then counts the rows below, at and
-    between the ends of each bracket, which either settles the value or proves that it lies
-    between them; brackets are narrowed until at most ``bound`` rows are left to rank. A value
-    that holds a large share of the rows is always an end of a bracket and never ranked. A
-    bracket that the counts refute is drawn again from a finer sketch.
-
-    Every pass reads ``df``, so a stored data set is a better input than the result of a costly
-    join.
+    Two passes at every size. The first counts the rows and brackets each percentile with a
+    sketch, whose error is bounded, so that the percentile lies within; it also computes ``more``
+    and its row is returned as well. The second counts the rows below each bracket and, inside
+    of it, the rows of each value, all in one partially aggregated grouping, so a value that
+    holds a large share of the rows is one row a task. These counts, a few thousandths of the
+    data, are sorted and checkpointed; sums by sort partition tell which partition holds a
+    percentile, and only that one is summed up value by value.
     """
-    slots = [_Slot(name, point) for name in columns for point in points]
+    slots = [(name, point) for name in columns for point in points]
     margin = 2.0 / accuracy
     sketches = []
     for name in columns:
         ends = [end for p in points for end in (max(0.0, p - margin), min(1.0, p + margin))]
-        sketches.append(F.percentile_approx(name, ends, accuracy).alias(f"_s_{name}"))
-    first = df.agg(
-        *[F.count(name).alias(f"_n_{name}") for name in columns],
-        *sketches,
-    ).first()
-    for i, slot in enumerate(slots):
-        slot.inside = first[f"_n_{slot.column}"]
-        slot.rank = max(1, math.ceil(Fraction(str(slot.point)) * slot.inside))
+        sketches.append(F.percentile_approx(F.col(name).cast("double"), ends, accuracy).alias(f"_s_{name}"))
+    first = df.agg(*more, *[F.count(name).alias(f"_n_{name}") for name in columns], *sketches).first()
+    entries, ranks = [], {}
+    for i, (name, point) in enumerate(slots):
+        if not first[f"_n_{name}"]:
+            continue
+        ranks[i] = max(1, math.ceil(Fraction(str(point)) * first[f"_n_{name}"]))
         at = 2 * (i % len(points))
-        slot.proposal = (first[f"_s_{slot.column}"] or [])[at : at + 2]
-
-    while todo := [slot for slot in slots if slot.inside > bound]:
-        tests = [
-            test.alias(f"{name}{i}")
-            for i, slot in enumerate(todo)
-            for name, test in slot.tests().items()
-        ]
-        counts = df.agg(*tests).first()
-        for i, slot in enumerate(todo):
-            if not slot.settle(*[counts[f"{name}{i}"] for name in slot.tests()]):
-                accuracy *= 10
-        if todo := [slot for slot in todo if slot.inside > bound]:
-            narrower = [slot.sketch(accuracy).alias(f"s{i}") for i, slot in enumerate(todo)]
-            for slot, proposal in zip(todo, df.agg(*narrower).first()):
-                slot.proposal = proposal
-
-    ranked = [slot for slot in slots if slot.inside]
-    values = _ranked_values(df, ranked) if ranked else {}
-    found = {(slot.column, slot.point): slot.value for slot in slots}
-    return found | {(ranked[i].column, ranked[i].point): value for i, value in values.items()}
-
-
-class _Slot:
-    """One percentile of one column: its rank, and the open interval known to hold it."""
-
-    def __init__(self, column: str, point: float):
-        self.column, self.point = column, point
-        self.low = self.high = self.value = self.proposal = None
-        self.below = self.inside = self.rank = 0
-
-    def within(self) -> Column:
-        value = F.col(self.column)
-        if self.low is None:
-            return value.isNotNull()
-        return (value > self.low) & (value < self.high)
-
-    def sketch(self, accuracy: int) -> Column:
-        """Values a little below and above the percentile among the rows of the interval."""
-        share, margin = (self.rank - self.below) / self.inside, 2.0 / accuracy
-        ends = [max(0.0, share - margin), min(1.0, share + margin)]
-        value = F.when(self.within(), F.col(self.column))
-        return F.percentile_approx(value, ends, accuracy)
-
-    def tests(self) -> dict[str, Column]:
-        """Rows below the proposed bracket, at its lower end, between its ends, up to its end."""
-        value, (low, high) = F.col(self.column), self.proposal
-        return {
-            "below": F.count_if(value < low),
-            "low": F.count_if(value == low),
-            "between": F.count_if((value > low) & (value < high)),
-            "all": F.count_if(value <= high),
-        }
-
-    def settle(self, below: int, low: int, between: int, up_to: int) -> bool:
-        """Take over the bracket if the counts allow it; say whether they do."""
-        if not below < self.rank <= up_to:
-            return False
-        if self.rank <= below + low:
-            self.value, self.inside = self.proposal[0], 0
-        elif self.rank > below + low + between:
-            self.value, self.inside = self.proposal[1], 0
-        else:
-            self.low, self.high = self.proposal
-            self.below, self.inside = below + low, between
-        return True
-
-
-def _ranked_values(df: DataFrame, slots: list[_Slot]) -> dict[int, float]:
-    """Value at the rank of each slot, found among the rows of its bracket."""
-    entries = [
-        F.when(
-            slot.within(),
-            F.struct(F.lit(i).alias("slot"), F.col(slot.column).cast("double").alias("value")),
-        )
-        for i, slot in enumerate(slots)
-    ]
-    needed = F.array(*[F.lit(slot.rank - slot.below) for slot in slots])
-    running = F.sum("count").over(W.partitionBy("slot").orderBy("value"))
-    inside = functools.reduce(lambda a, b: a | b, [slot.within() for slot in slots])
+        low, high = first[f"_s_{name}"][at : at + 2]
+        value = F.col(name).cast("double")
+        inside = F.when(value >= low, value)  # NULL stands for all rows below
+        entries.append(F.when(value <= high, F.struct(F.lit(i).alias("slot"), inside.alias("value"))))
+    found: dict[tuple[str, float], float | None] = dict.fromkeys(slots)
+    if not entries:
+        return found, first
+    shared_dir(df.sparkSession)
+    counts = (
+        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        .groupBy("e.slot", "e.value").count().orderBy("slot", F.asc_nulls_first("value")).checkpoint()
+        .withColumn("part", F.spark_partition_id())
+    )
+    before = dict.fromkeys(ranks, 0)
+    target: dict[int, tuple[int, int]] = {}
+    for row in sorted(counts.groupBy("part", "slot").agg(F.sum("count").alias("n")).collect()):
+        if row.slot not in target and before[row.slot] + row.n >= ranks[row.slot]:
+            target[row.slot] = row.part, ranks[row.slot] - before[row.slot]
+        before[row.slot] += row.n
+    chosen = functools.reduce(
+        lambda a, b: a | b, [(F.col("slot") == i) & (F.col("part") == p) for i, (p, _) in target.items()]
+    )
+    needed = F.create_map(*[F.lit(x) for i, (_, n) in target.items() for x in (i, n)])
+    running = F.sum("count").over(W.partitionBy("slot").orderBy(F.asc_nulls_first("value")))
     hits = (
-        df.filter(inside)
-        .select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.slot", "e.value")
-        .count()
-        .withColumn("running", running)
-        .filter(F.col("running") >= F.get(needed, F.col("slot")))
-        .groupBy("slot")
-        .agg(F.min("value").alias("value"))
+        counts.filter(chosen).withColumn("running", running)
+        .filter(F.col("running") >= needed[F.col("slot")])
+        .groupBy("slot").agg(F.min_by("value", "running").alias("value"))
     )
-    return {row["slot"]: row["value"] for row in hits.collect()}
+    for row in hits.collect():
+        if row.value is None:
+            raise ArithmeticError(f"a sketch of {slots[row.slot][0]} misses its percentile")
+        found[slots[row.slot]] = row.value
+    return found, first
 
 
 # --- groups -------------------------------------------------------------------------------
