@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from timbrelake import sinks, sources
 from timbrelake.constants import N_CHROMA, N_CONTRAST, N_MFCC, N_TONNETZ, STATISTICS
 from timbrelake.functions import arrays
 from timbrelake.functions.dsp import SignalConfig
 from timbrelake.functions.schema import SERIES, compact_names, long_name
 from timbrelake.operators import signal
 from timbrelake.plans import views
-from timbrelake.plans.registry import query
+from timbrelake.plans.registry import bucket_sql, query
+from timbrelake.session import scratch_path
 
 N, HOP, MELS = 16, 8, 20
 #: Tempo limits are scaled to these short signals so that lags 2 to 6 compete.
@@ -357,3 +359,48 @@ def row_topk(spark, root):
     return views.signals(spark, root).select("vec_id", F.posexplode(best).alias("p", "e")).select(
         "vec_id", (F.col("p") + 1).alias("place"), "e.position", "e.value"
     )
+
+
+# --- files ----------------------------------------------------------------------------------
+
+_FILES = f"""files AS (
+  SELECT vec_id, 'store/set ' || (vec_id % 7) || '/' || vec_id || '.wav' AS path,
+         vec_id || '.wav' AS filename, len(embedding) / {views.WAV_RATE}.0::DOUBLE AS duration
+  FROM embeddings)"""
+_UPLOADED = f"""SELECT filename, duration, {bucket_sql('path', 100)} + 1 AS user_id,
+  '2024-05-06' AS uploaded_at, 1 AS ok FROM files"""
+
+
+@query(f"""WITH samples AS (
+  SELECT vec_id, CAST(floor(unnest(embedding)::DOUBLE * 8192) AS BIGINT) AS q,
+         generate_subscripts(embedding, 1) AS i FROM embeddings)
+SELECT 'store/set ' || (vec_id % 7) || '/' || vec_id || '.wav' AS path, {views.WAV_RATE} AS sr,
+       count(*) AS n, CAST(sum(q * i) AS BIGINT) AS weighted FROM samples GROUP BY vec_id""")
+def wav_ingest(spark, root):
+    """PCM16 files decoded into samples, compared by number and a weighted sum."""
+    decoded = signal.decode_wav(views.wav_files(spark, root).select("path", "content"))
+    whole = "transform(samples, (x, i) -> bigint(round(x * 32768)) * (i + 1))"
+    return decoded.filter("ok = 1").selectExpr(
+        "path", "sr", "bigint(size(samples)) AS n", f"aggregate({whole}, 0L, (s, x) -> s + x) AS weighted"
+    )
+
+
+def _uploads(spark, root):
+    stamp = F.lit("2024-05-06 07:08:09").cast("timestamp")
+    files = views.wav_files(spark, root)
+    return signal.extract_upload(files, "path", uploaded_at=stamp, config=CONFIG)
+
+
+@query(f"WITH {_FILES} {_UPLOADED}")
+def extract_upload(spark, root):
+    """The upload form: file name, duration, user and date beside the features."""
+    return _uploads(spark, root).select("filename", "duration", "user_id", "uploaded_at", "ok")
+
+
+@query(f"WITH {_FILES} {_UPLOADED}")
+def analyse_and_store(spark, root):
+    """Files analysed once, appended to a history without the failed ones, and read back."""
+    path = scratch_path(spark, "analysed")
+    sinks.append_history(_uploads(spark, root), path)
+    stored = sources.read_dataset(spark, path)
+    return stored.select("filename", "duration", "user_id", "uploaded_at", F.lit(1).alias("ok"))

@@ -191,3 +191,28 @@ SCORED = """scored AS (
   SELECT doc_id, CAST(quality AS DOUBLE) AS label, least(n_chars / 100.0, 50.0) / 50 AS score,
          CAST(least(n_chars / 100.0, 50.0) / 50 > 0.2 AS INTEGER) AS prediction
   FROM documents JOIN labels USING (doc_id))"""
+
+
+WAV_RATE = 16_000
+
+
+def wav_files(spark: SparkSession, root: str) -> DataFrame:
+    """Vectors as 16-bit PCM WAV files, built from bytes by Spark: path, content."""
+
+    def little(value, size):
+        part = "lpad(hex(shiftright({v}, {s}) & 255), 2, '0')"
+        return " || ".join(part.format(v=value, s=8 * i) for i in range(size))
+
+    size = "2 * size(q)"
+    header = " || ".join([
+        "'52494646'", little(f"(36 + {size})", 4), "'57415645666D7420'", little("16", 4), little("1", 2), little("1", 2),
+        little(str(WAV_RATE), 4), little(str(2 * WAV_RATE), 4), little("2", 2), little("16", 2), "'64617461'", little(f"({size})", 4),
+    ])
+    quantised = table(spark, root, "embeddings").selectExpr(
+        "vec_id", "transform(embedding, x -> int(floor(double(x) * 8192))) AS q"
+    )
+    samples = f"array_join(transform(q, v -> {little('v', 2)}), '')"
+    return quantised.selectExpr(
+        "vec_id", "'store/set ' || (vec_id % 7) || '/' || vec_id || '.wav' AS path",
+        f"unhex({header} || {samples}) AS content",
+    )
