@@ -211,3 +211,11 @@ def test_array_functions(spark):
     assert [tuple(e) for e in best] == [(1, 0.5), (2, 0.5), (0, 0.2)]
     named = frame.select(name_positions(F.col("v"), ["x", "y"])).collect()
     assert [tuple(e) for e in named[3][0]] == [(1, "x", 5.0), (2, "y", 0.0)]
+
+
+def test_date_range_reaches_the_scan(spark, root):
+    from timbrelake.plans.registry import QUERIES
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = QUERIES["filter_date_range"](spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(uploaded_at,1996-03-01)" in plan and "LessThanOrEqual(uploaded_at,1996-05-31)" in plan

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from timbrelake import sinks, sources
 from timbrelake.operators import filters, joins
 from timbrelake.operators.filters import Selection
 from timbrelake.operators.profile import group_profile, group_zscore
@@ -11,6 +12,7 @@ from timbrelake.operators.profile import summary_table as summary
 from timbrelake.plans import views
 from timbrelake.plans.profile_queries import PROFILE, ZSCORE
 from timbrelake.plans.registry import query
+from timbrelake.session import scratch_path
 
 
 @query("""SELECT c_custkey AS id, c_name AS title, c_acctbal * 2 AS doubled, 3005 AS fixed
@@ -81,8 +83,11 @@ def filter_isin(spark, root):
 @query(f"""WITH {views.TRACKS}
 SELECT {_COLUMNS} FROM tracks WHERE uploaded_at >= '1996-03-01' AND uploaded_at <= '1996-05-31'""")
 def filter_date_range(spark, root):
+    """Dates are stored as text in a data set, so the range reaches its scan."""
+    path = scratch_path(spark, "tracks")
+    sinks.overwrite(views.tracks(spark, root).select("uploaded_at", *(n for n in _NAMES if n != "uploaded_at")), path)
     chosen = Selection(date_from="1996-03-01", date_to="1996-05-31")
-    return filters.select_rows(views.tracks(spark, root), chosen).select(*_NAMES)
+    return filters.select_rows(sources.read_dataset(spark, path), chosen).select(*_NAMES)
 
 
 @query(f"""WITH {views.TRACKS}
