@@ -144,3 +144,28 @@ def test_shards_are_read_as_one(spark):
     paths = [sinks.write_shard(spark.range(i, 9, 3), base, i) for i in range(3)]
     assert paths[1].endswith("dataset_part1.parquet")
     assert sources.read_dataset(spark, *paths).count() == 9
+
+
+def test_array_form_job(spark, tmp_path):
+    audio, out = tmp_path / "audio", scratch_path(spark, "arrays")
+    _corpus(audio, 0, 4)
+    (audio / "0" / "bad.low.wav").write_bytes(b"no sound")
+    for _ in range(2):
+        counts = jobs.extract_arrays(spark, str(audio), out)
+        assert counts == {"found": 5, "extracted": 4, "failed": 1}
+    stored = sources.read_dataset(spark, out)
+    assert stored.count() == 4 and "ok" not in stored.columns
+    assert sources.read_dataset(spark, f"{out}_failures").first()["path"].endswith("bad.low.wav")
+
+
+def test_sharded_build_resumes(spark, tmp_path):
+    audio, out = tmp_path / "audio", scratch_path(spark, "sharded")
+    _corpus(audio, 2, 9)
+    lines = [f"track_{i:07d}\ta\tb\t{i}.mp3\t30\tgenre---g{i % 2}\tmood---x\n" for i in range(2, 9)]
+    (tmp_path / "c.tsv").write_text(HEADER + "".join(lines))
+    first = jobs.build_shards(spark, str(audio), str(tmp_path / "c.tsv"), out, 3)
+    assert first.count() == 7
+    before = {r["path"] for r in first.select("path").collect()} if "path" in first.columns else None
+    again = jobs.build_shards(spark, str(audio), str(tmp_path / "c.tsv"), out, 3)
+    assert again.count() == 7 and again.columns == first.columns
+    assert before is None or before == {r["path"] for r in again.select("path").collect()}

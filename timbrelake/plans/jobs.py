@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import islice
+
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +15,7 @@ from timbrelake.functions.dsp import SignalConfig
 from timbrelake.functions.keys import assign_user, first_genre, genre_tags
 from timbrelake.operators import catalogue, filters, joins, learning, profile, signal
 from timbrelake.operators.filters import Selection
-from timbrelake.operators.ordering import batch_number, global_index
+from timbrelake.operators.ordering import batch_number, global_index, shard_index
 from timbrelake.session import path_exists, remove_path, scratch_path, shared_dir
 
 _STATUS = ("n_samples", "sr", "ok", "error")
@@ -110,6 +112,60 @@ def extract(
     return counts | {"extracted": total - counts["failed"]}
 
 
+def extract_arrays(
+    spark: SparkSession, root: str, out: str, glob: str = "*.wav",
+    config: SignalConfig = SignalConfig(),
+) -> dict[str, int]:
+    """Array-valued features of all files, overwritten at ``out``; failures go to ``<out>_failures``.
+
+    Files are analysed where Spark reads them. A rerun starts anew and replaces both.
+    """
+    files = sources.list_files(spark, root, glob, content=True).select("path", "content")
+    done = scratch_path(spark, "arrays")
+    sinks.overwrite(signal.extract_series(files, "path", config=config), done)
+    rows = sources.read_dataset(spark, done)
+    sinks.overwrite(filters.only_ok(rows).drop(*_STATUS), out)
+    sinks.overwrite(rows.filter("ok = 0").select("path", "error"), f"{out}_failures")
+    failed = rows.filter("ok = 0").count()
+    counts = {"found": rows.count(), "extracted": rows.count() - failed, "failed": failed}
+    remove_path(spark, done)
+    return counts
+
+
+def build_shards(
+    spark: SparkSession, root: str, metadata: str, out: str, shards: int, glob: str = "*.wav",
+    ragged: bool = True, round_files: int = 10_000, config: SignalConfig = SignalConfig(),
+) -> DataFrame:
+    """The training set built shard by shard: every ``shards``-th file by name, extracted, joined.
+
+    One sort of the names gives all shards. Each shard is committed to its own directory, so a
+    rerun skips the shards that are there. All of them are read back as one data set.
+    """
+    names = sources.list_files(spark, root, glob).dropDuplicates(["path"])
+    placed = shard_index(names, "path", shards=shards)
+    keyed = read_metadata(spark, metadata, ragged)
+    paths = []
+    for shard in range(shards):
+        paths.append(f"{out}/dataset_part{shard}.parquet")
+        if path_exists(spark, f"{paths[-1]}/_SUCCESS"):
+            continue
+        chosen = placed.filter(F.col("shard") == shard).select("path").toLocalIterator()
+        done = scratch_path(spark, "shard")
+        while some := [row["path"] for row in islice(chosen, round_files)]:  # so many at once
+            files = sources.read_files(spark, some)
+            found = signal.extract_features(files, "path", config=config)
+            filters.only_ok(found).drop(*_STATUS).write.mode("append").parquet(done)
+        features = read_if_present(spark, done)
+        if features is None:  # a shard without files or with failures only
+            empty = signal.extract_features(
+                spark.createDataFrame([], "path STRING, content BINARY"), "path", config=config
+            )
+            features = empty.drop(*_STATUS)
+        sinks.write_shard(joins.enrich(joins.keyed_features(features), keyed), out, shard)
+        remove_path(spark, done)
+    return sources.read_dataset(spark, *paths)
+
+
 def read_metadata(spark: SparkSession, path: str, ragged: bool = True) -> DataFrame:
     """Keyed metadata from a ragged catalogue, or from a rectangular one with a TAGS column."""
     if ragged:
