@@ -68,3 +68,9 @@ def test_many_packers_stay_valid(spark):
         assert r.offset == total.get(r.sequence_id, 0)
         total[r.sequence_id] = r.offset + r.length
     assert max(total.values()) <= 2048 and len(rows) == 5000
+
+
+def test_pieces_hold_their_ids(spark, docs, ids):
+    rows = packing.pieces(docs.limit(20), PATH).orderBy("doc_id", "piece").collect()
+    for r in rows:
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length

@@ -46,7 +46,7 @@ class WordTokens:
         self._forget()
 
     def _forget(self) -> None:
-        self.slots = np.zeros(1 << (4 * self.remembered - 1).bit_length(), np.uint64)
+        self.slots = np.zeros(1 << (2 * self.remembered - 1).bit_length(), np.uint64)
         self.entry = np.zeros(len(self.slots), np.int32)
         self.mask = np.uint64(len(self.slots) - 1)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 1
@@ -142,10 +142,11 @@ class WordTokens:
         return ids, upto[row]
 
 
-def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, ids`` for every piece of every document.
+def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, with_ids: bool = True) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` and ``ids`` for every piece of every document.
 
-    A document is its ids and the id 0; only documents beyond ``length`` are cut.
+    A document is its ids and the id 0; only documents beyond ``length`` are cut. ``ids`` are
+    little-endian unsigned 32-bit numbers; without ``with_ids`` they stay in the task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,17 +161,17 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
                     own = flat[4 * low : 4 * high]
                     for p, at in enumerate(range(0, len(own), step)):
                         part = own[at : at + step]
-                        rows.append((start + r, p, at // 4, len(part) // 4, zlib.crc32(part), bytes(part)))
+                        rows.append((start + r, p, at // 4, len(part) // 4, zlib.crc32(part), bytes(part) if with_ids else None))
                 row, *columns = zip(*rows)
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-                yield pa.record_batch(
-                    [batch.column("doc_id").take(pa.array(row)), *arrays],
-                    ["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
-                )
+                arrays = [batch.column("doc_id").take(pa.array(row)), *arrays]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+                wide = len(names) - (not with_ids)
+                yield pa.record_batch(arrays[:wide], names[:wide])
 
     ship_package(docs.sparkSession)
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
@@ -253,5 +254,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> Dat
     the shared folder, as it is read for its total and for packing.
     """
     path = scratch_path(docs.sparkSession, "pieces")
-    pieces(docs, tokenizer, length).drop("ids").write.parquet(path)
+    pieces(docs, tokenizer, length, with_ids=False).write.parquet(path)
     return pack(docs.sparkSession.read.parquet(path), length)
