@@ -51,3 +51,12 @@ def test_edge_cases(spark):
     assert kept.columns == frame.columns and kept.count() == len(rows) - 5
     assert dc.leaks(frame.limit(0), bench).count() == 0 == dc.leaks(frame, bench.limit(0)).count()
     assert dc.decontaminate(frame, bench.limit(0)).count() == len(rows)
+
+
+def test_cut_copies_match_plain_version(spark):
+    items = [" ".join(f"item{k}x{i}" for i in range(n)) for k, n in enumerate((59, 45, 36, 30))]
+    texts = [" ".join(t.split()[: round(len(t.split()) * share)]) for t in items for share in (0.75, 0.8, 0.83, 0.85, 0.9, 0.95)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = plain.leaks(texts, items)
+    got = dc.leaks(plain.documents(spark, texts, list(range(len(texts)))), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(want) >= 16

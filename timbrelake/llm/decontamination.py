@@ -120,7 +120,7 @@ class Items:
             inside = hits[upto] - hits[begin]
             sizes = [n for n in lengths if min(n, SHINGLE) == width]
             for t in np.flatnonzero(inside):
-                out.extend(self._in_text(part, shingles, hits, int(t), width, [n for n in sizes if inside[t] >= self._need(n - width + 1, n - width + 1)]))
+                out.extend(self._in_text(part, shingles, hits, int(t), width, [n for n in sizes if inside[t] >= self._need(min(n - width + 1, int(upto[t] - begin[t])), n - width + 1)]))
         return sorted(out)
 
     def _need(self, a: int, b: int) -> float:
