@@ -1,3 +1,7 @@
+import random
+import re
+from dataclasses import replace
+
 import plain
 
 from timbrelake.llm import licenses
@@ -54,3 +58,41 @@ def test_rules():
     assert len(licenses.RULES) > 300 and [r.priority for r in licenses.RULES] == sorted(r.priority for r in licenses.RULES)
     far = [b"license"] + [b"w"] * 500 + [b"mit"]
     assert licenses.detections(far) == []
+
+
+def some_match(tree, pick):
+    """A text that a parsed pattern matches; look-arounds are left out."""
+    out = ""
+    for op, value in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(value)
+        elif name == "IN":
+            op, value = pick.choice(value)
+            out += {"LITERAL": lambda: chr(value), "RANGE": lambda: chr(pick.randint(*value)), "CATEGORY": lambda: "w"}[str(op)]()
+        elif name == "BRANCH":
+            out += some_match(pick.choice(value[1]), pick)
+        elif name == "SUBPATTERN":
+            out += some_match(value[3], pick)
+        elif name == "MAX_REPEAT":
+            least, most, inner = value
+            out += "".join(some_match(inner, pick) for _ in range(pick.randint(least, min(most, least + 2))))
+        else:
+            assert name == "ASSERT", name
+    return out
+
+
+def test_keywords_and_anchors_lose_no_match(monkeypatch):
+    pick, texts = random.Random(3), ["licensed under GPL3", "licensed under the General Public License version 3", "under the mpl2 license"]
+    for rule in licenses.RULES:
+        tree = re._parser.parse(rule.pattern.pattern.decode())
+        texts += [some_match(tree, pick) for _ in range(12)]
+        assert all(rule.pattern.search(f" {t} ".encode()) for t in texts[-12:])
+    texts = [f"Some words before {t} and others behind." for t in texts]
+    got = [row[5] for row in licenses.Scanner()([t.encode() for t in texts])]
+    monkeypatch.setattr(licenses, "RULES", [replace(rule, keywords=(b"",)) for rule in licenses.RULES])
+    monkeypatch.setattr(licenses, "KEYWORDS", [b""])
+    want = [licenses.detections([w.encode() for w in plain.word_list(t)]) for t in texts]
+    base_of = [base(t)[4] for t in texts]
+    assert got == [",".join(sorted({r.label for _, _, r in w} | set(b.split(",")) - {""})) for w, b in zip(want, base_of)]
+    assert got[:3] == ["gpl-3", "gpl-3", "mpl-2"] and all(got)

@@ -23,24 +23,24 @@ BASE = {
 #: Words around a keyword in which signatures are looked for.
 REACH = 40
 
-#: Label, pattern of the name over words set apart by single blanks, keywords of which one has to
-#: stand nearby. More special names come first.
+#: Label, pattern of the name over words set apart by single blanks, keywords. Every match has a word
+#: that begins with one of the keywords. More special names come first.
 NAMES = (
     ("mit-0", "mit (?:no attribution|0)", "mit"),
     ("mit", "(?:mit|expat)(?: x11)?", "mit expat"),
     ("apache-1", "apache(?: software)?(?: foundation)?(?: license)?(?: version)?(?: v)? ?1 [01]", "apache"),
-    ("apache-2", "apache(?: software)?(?: foundation)?(?: license)?(?: version)?(?: v)? ?2(?: 0)?", "apache apache2"),
+    ("apache-2", "apache(?: software)?(?: foundation)?(?: license)?(?: version)?(?: v)? ?2(?: 0)?", "apache"),
     ("apache", "apache(?: software)?(?: foundation)?", "apache"),
-    ("agpl-3", "(?:gnu )?(?:affero general public|agpl)(?: license)?(?: version)?(?: v)? ?v?3(?: 0)?", "affero agpl agplv3"),
+    ("agpl-3", "(?:gnu )?(?:affero general public|agpl)(?: license)?(?: version)?(?: v)? ?v?3(?: 0)?", "affero agpl"),
     ("agpl", "(?:gnu )?(?:affero general public|agpl)", "affero agpl"),
-    ("lgpl-2.1", "(?:gnu )?(?:(?:lesser|library) general public|lgpl)(?: license)?(?: version)?(?: v)? ?v?2 1", "lesser library lgpl lgplv2"),
-    ("lgpl-2", "(?:gnu )?(?:(?:lesser|library) general public|lgpl)(?: license)?(?: version)?(?: v)? ?v?2(?: 0)?", "lesser library lgpl lgplv2"),
-    ("lgpl-3", "(?:gnu )?(?:(?:lesser|library) general public|lgpl)(?: license)?(?: version)?(?: v)? ?v?3(?: 0)?", "lesser library lgpl lgplv3"),
+    ("lgpl-2.1", "(?:gnu )?(?:(?:lesser|library) general public|lgpl)(?: license)?(?: version)?(?: v)? ?v?2 1", "lesser library lgpl"),
+    ("lgpl-2", "(?:gnu )?(?:(?:lesser|library) general public|lgpl)(?: license)?(?: version)?(?: v)? ?v?2(?: 0)?", "lesser library lgpl"),
+    ("lgpl-3", "(?:gnu )?(?:(?:lesser|library) general public|lgpl)(?: license)?(?: version)?(?: v)? ?v?3(?: 0)?", "lesser library lgpl"),
     ("lgpl", "(?:gnu )?(?:(?:lesser|library) general public|lgpl)", "lesser library lgpl"),
-    ("gpl-1", "(?:gnu )?(?:general public|gpl)(?: license)?(?: version)?(?: v)? ?v?1(?: 0)?", "gnu gpl gplv1"),
-    ("gpl-2", "(?:gnu )?(?:general public|gpl)(?: license)?(?: version)?(?: v)? ?v?2(?: 0)?", "gnu gpl gplv2"),
-    ("gpl-3", "(?:gnu )?(?:general public|gpl)(?: license)?(?: version)?(?: v)? ?v?3(?: 0)?", "gnu gpl gplv3"),
-    ("gpl", "(?:gnu )?(?:general public|gpl)", "gnu gpl"),
+    ("gpl-1", "(?:gnu )?(?:general public|gpl)(?: license)?(?: version)?(?: v)? ?v?1(?: 0)?", "general gpl"),
+    ("gpl-2", "(?:gnu )?(?:general public|gpl)(?: license)?(?: version)?(?: v)? ?v?2(?: 0)?", "general gpl"),
+    ("gpl-3", "(?:gnu )?(?:general public|gpl)(?: license)?(?: version)?(?: v)? ?v?3(?: 0)?", "general gpl"),
+    ("gpl", "(?:gnu )?(?:general public|gpl)", "general gpl"),
     ("fdl-1.3", "(?:gnu )?(?:free documentation|gfdl|fdl)(?: license)?(?: version)?(?: v)? ?1 3", "documentation gfdl fdl"),
     ("fdl", "(?:gnu )?(?:free documentation|gfdl)", "documentation gfdl"),
     ("bsd-0", "(?:zero clause bsd|0bsd|bsd zero clause)", "bsd 0bsd"),
@@ -131,6 +131,7 @@ def _rules() -> list[Rule]:
 
 
 RULES = _rules()
+KEYWORDS = sorted({k for rule in RULES for k in rule.keywords})
 #: Near one of these words a signature may stand; elsewhere none can match.
 ANCHORS = (
     "license", "licence", "licensed", "relicensed", "released", "distributed", "available", "provided",
@@ -147,7 +148,7 @@ def detections(words: list[bytes]) -> list[tuple[int, int, Rule]]:
     dropped.
     """
     text = b" " + b" ".join(words) + b" "
-    there = set(words)
+    there = {k for k in KEYWORDS if b" " + k in text}
     starts = np.flatnonzero(np.frombuffer(text, np.uint8) == 0x20)
     found = []
     for order, rule in enumerate(RULES):
