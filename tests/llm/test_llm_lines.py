@@ -1,3 +1,5 @@
+import random
+
 import plain
 
 from timbrelake.llm import line_dedup as ld
@@ -62,3 +64,28 @@ def test_a_repeated_paragraph_alone(spark):
     text = f"{PASSAGE}\n"
     frame = plain.documents(spark, [text, text, text + text], [1, 2, 3])
     assert {d: r.text for d, r in result(frame).items()} == {1: text, 2: "", 3: ""}
+
+
+def test_whole_passages_go_between_any_neighbours(spark):
+    pick, texts, passages = random.Random(2), [], []
+
+    def line(tag, n):
+        return " ".join(f"{tag}{pick.randrange(10**6)}" for _ in range(n)) + "."
+
+    for k in range(90):
+        n, size = [(3, 20), (4, 15), (5, 13), (2, 26), (9, 6), (17, 5)][k % 6]
+        passages.append(pick.choice([" ", "\n"]).join(line(f"p{k}x", size) for _ in range(n)))
+        for side in "ab":
+            around = [" ".join(line(f"{side}{k}x", pick.randint(3, 25)) for _ in range(3)) for _ in range(2)]
+            texts.append(f"{around[0]}\n{passages[-1]}\n{around[1]}")
+    got = result(plain.documents(spark, texts, list(range(len(texts)))))
+    for k, passage in enumerate(passages):
+        assert got[2 * k].text == texts[2 * k]
+        assert got[2 * k + 1].text == texts[2 * k + 1].replace(passage + "\n", "")
+
+
+def test_what_overlaps_its_first_place_stays(spark):
+    line = " ".join(f"w{i}" for i in range(15)) + "."
+    texts = ["\n".join([line] * n) for n in (4, 8)]
+    assert result(plain.documents(spark, texts[:1], [0]))[0].text == texts[0]
+    assert result(plain.documents(spark, texts[1:], [0]))[0].text == texts[0] + "\n"
