@@ -32,9 +32,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def root():
     return SF_DIR
-
-
-def rows(frame, *order):
-    """Rows as plain tuples, sorted."""
-    collected = [tuple(row) for row in frame.collect()]
-    return sorted(collected, key=lambda r: tuple((v is None, str(v)) for v in r))

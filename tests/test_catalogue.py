@@ -1,7 +1,7 @@
 import datetime as dt
 from collections import Counter
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from timbrelake.functions import keys

@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
