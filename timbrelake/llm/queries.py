@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timbrelake.llm import decontamination, licenses, line_dedup, near_dedup, packing, pii, sharding, topk_search, toxicity, warc
+from timbrelake.llm import decontamination, licenses, line_dedup, mixing, near_dedup, packing, pii, sharding, topk_search, toxicity, warc
 from timbrelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,42 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty nearest vectors of every twentieth one."""
     return topk_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    r"""
+    WITH d AS (
+        SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
+    ),
+    named AS (
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+        FROM d GROUP BY source
+    ),
+    weighed AS (SELECT *, CASE place % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 3 * source_size AS bound FROM named),
+    shared AS (
+        SELECT (sum(source_size) OVER () - coalesce(sum(bound) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+               / (sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+        FROM weighed WINDOW w AS (ORDER BY bound::DOUBLE / weight, place)
+    ),
+    aimed AS (
+        SELECT source, source_size, least(bound::DOUBLE, (SELECT max(level) FROM shared) * weight) AS target,
+               CAST(concat('0x', substr(md5(concat('29:', coalesce(concat('=', source), ''))), 1, 5)) AS BIGINT) AS start
+        FROM weighed
+    ),
+    steps AS (
+        SELECT *, least(CAST(floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END * 1048576 + 0.5) AS BIGINT), 3145728) AS step
+        FROM aimed
+    ),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC, md5(CAST(doc_id AS VARCHAR))) - 1 AS at FROM d
+    )
+    SELECT r.doc_id, r.size, s.source_size, s.target,
+           r.size * ((((r.at + 1) * s.step + s.start) >> 20) - ((r.at * s.step + s.start) >> 20)) AS taken
+    FROM ranked r JOIN steps s ON r.source IS NOT DISTINCT FROM s.source
+    """
+)
+def op13_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix of all sources by weight takes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words(F.col("text")).alias("words"))
+    drawn = mixing.copies(docs, F.col("words"), order=F.md5(F.col("doc_id").cast("string").cast("binary")))
+    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
