@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from zlib import crc32
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timbrelake.llm import decontamination, licenses, line_dedup, mixing, near_dedup, packing, pii, sharding, topk_search, toxicity, warc
-from timbrelake.session import scratch_path
+from timbrelake.llm import decontamination, licenses, line_dedup, mixing, near_dedup, packing, periodic_runs, pii, sharding, topk_search, toxicity, warc
+from timbrelake.llm.text import arrow_map, slices
+from timbrelake.session import scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +167,46 @@ def op13_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words(F.col("text")).alias("words"))
     drawn = mixing.copies(docs, F.col("words"), order=F.md5(F.col("doc_id").cast("string").cast("binary")))
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; the words of every tenth document by hash repeat with a period from some word on."""
+
+    def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for start, texts in slices(batch):
+            ids = batch.column("doc_id").slice(start, len(texts))
+            made = [periodic(i, t) for i, t in zip(ids.to_pylist(), texts)]
+            yield pa.record_batch([ids, pa.array(made, pa.string())], ["doc_id", "text"])
+
+    ship_package(docs.sparkSession)
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), of, "doc_id long, text string")
+
+
+def periodic(doc_id: int | None, text: bytes) -> bytes:
+    """The text whose words from a on repeat the first p of them, where the hash of doc_id says so."""
+    h = crc32(str(doc_id).encode())
+    if doc_id is None or h % 10:
+        return text
+    words, g = text.split(), h // 10
+    if not words:
+        return text
+    first = g % len(words)
+    rest = len(words) - first
+    p = 1 + rest // (3 + g % 8)
+    return b" ".join(words[:first] + (words[first : first + p] * (rest // p + 1))[:rest])
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and the text without their repeated parts."""
+    rows = periodic_runs.find_runs(with_periods(table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    longer = lambda best, run: best.isNull() | (run.length * best.period > best.length * run.period)
+    best = F.aggregate("runs", none, lambda best, run: F.when(longer(best, run), run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[k].cast("string") for k in ("start", "length", "period"))), F.lit("\n")))
+    return rows.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
