@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timbrelake.llm import decontamination, licenses, line_dedup, mixing, near_dedup, packing, periodic_runs, pii, sharding, topk_search, toxicity, warc
+from timbrelake.llm import alignment, decontamination, licenses, line_dedup, mixing, near_dedup, packing, periodic_runs, pii, sharding, topk_search, toxicity, warc
 from timbrelake.llm.text import arrow_map, slices
 from timbrelake.session import scratch_path, ship_package
 
@@ -210,3 +210,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query()
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers align in every document."""
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    measured = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), *files)
+    return measured.select("doc_id", *alignment.MEASURES, "groups_sha256")
