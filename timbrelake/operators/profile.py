@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Row
@@ -24,7 +25,6 @@ from timbrelake.constants import (
     TEMPO_BUCKETS,
     TOP_GROUPS,
 )
-from timbrelake.session import shared_dir
 
 
 def _whole():
@@ -75,8 +75,8 @@ def feature_stats(
     """Mean, sample std, min, max, p10 and p90 of each column as ``column__statistic``: one row.
 
     The percentiles come from one sketch per column of the given accuracy, in the same pass as
-    the rest, or with ``exact`` from :func:`exact_percentiles`, whose first pass is shared: then
-    the data is read twice and the result is a row of known values.
+    the rest, or with ``exact`` all figures from :func:`exact_summary`, which reads the data twice (more
+    often beyond some millions of rows) and gives a row of known values.
     """
     points = {"p10": 0.1, "p90": 0.9}
     figures = []
@@ -93,81 +93,190 @@ def feature_stats(
                 figures.append(F.round(sketch[i], places).alias(f"{name}__{label}"))
     if not exact:
         return df.agg(*figures)
-    found, first = exact_percentiles(df, columns, list(points.values()), more=figures)
-    kinds = dict(df.agg(*figures).dtypes)
+    summary, found = exact_summary(df, columns, list(points.values()))
     values = []
     for name in columns:
-        values += [F.lit(first[k]).cast(kinds[k]).alias(k) for k in kinds if k.rsplit("__", 1)[0] == name]
+        own, kind = summary[name], df.schema[name].dataType
+        values += [rounded(F.lit(own[k]).cast("double"), places).alias(f"{name}__{k}") for k in ("mean", "std")]
+        values += [F.round(F.lit(own[k]).cast("double").cast(kind), places).alias(f"{name}__{k}") for k in ("min", "max")]
         for label, point in points.items():
-            value = F.lit(found[name, point]).cast("double")
-            values.append(F.round(value, places).alias(f"{name}__{label}"))
+            values.append(F.round(F.lit(found[name, point]).cast("double"), places).alias(f"{name}__{label}"))
     return df.sparkSession.range(1).select(*values)
 
 
-def exact_percentiles(
+#: Error of a KLL sketch of size k, as ``KLL_FACTOR / k ** KLL_POWER`` (99 % of the ranks).
+KLL_FACTOR, KLL_POWER = 2.296, 0.9021
+#: Partial sketches that the last task merges; those of all tasks are merged into so many first.
+MERGED = 64
+#: Expected distinct values of a bracket that a pass may return.
+HELD = 20_000
+
+
+@dataclass
+class _Search:
+    """A percentile that is not known yet: its place among the values, and a bracket of it."""
+
+    name: str
+    point: float
+    place: int
+    low: float
+    high: float
+    inside: int
+
+
+def _sketched(
+    df: DataFrame, values: Sequence[Column], shares: Sequence[Sequence[float]], accuracy: int
+) -> list[tuple[list[float] | None, list[Row]]]:
+    """Of each value its quantiles at the given shares, NULL without any, and ``n, mean, var`` of each part.
+
+    Two levels: the tasks' sketches are merged by ``MERGED`` parts, then these, so that no task
+    reads a sketch of every other one.
+    """
+    size = min(65_535, max(8, math.ceil((KLL_FACTOR * accuracy) ** (1 / KLL_POWER))))
+    plain = [F.when(~F.isnan(value), value) for value in values]
+    first = [c for i, v in enumerate(plain) for c in (
+        F.when(F.count(v) > 0, F.kll_sketch_agg_double(v, size)).alias(f"s{i}"),
+        F.struct(F.count(values[i]).alias("n"), F.count(v).alias("plain"), F.avg(values[i]).alias("mean"), F.var_pop(values[i]).alias("var")).alias(f"m{i}"),
+    )]
+    parts = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGED)).alias("part")).agg(*first)
+    second = []
+    for i, wanted in enumerate(shares):
+        ranks = F.array(*[F.lit(min(1.0, max(0.0, share))) for share in wanted])
+        merged = F.kll_merge_agg_double(f"s{i}", size)
+        second.append(F.when(F.count(f"s{i}") > 0, F.kll_sketch_get_quantile_double(merged, ranks)).alias(f"q{i}"))
+        second.append(F.collect_list(f"m{i}").alias(f"m{i}"))
+    row = parts.agg(*second).first()
+    return [(row[f"q{i}"], row[f"m{i}"]) for i in range(len(shares))]
+
+
+def _moments(parts: Sequence[Row]) -> tuple[int, float | None, float | None]:
+    """Number, mean and sample deviation of all parts together."""
+    parts = [p for p in parts if p.n]
+    n = sum(p.n for p in parts)
+    if not n:
+        return 0, None, None
+    mean = math.fsum(p.n * p.mean for p in parts) / n
+    spread = math.fsum(p.n * (p["var"] + (p.mean - mean) ** 2) for p in parts)
+    return n, mean, math.sqrt(spread / (n - 1)) if n > 1 else None
+
+
+def exact_summary(
     df: DataFrame,
     columns: Sequence[str],
     points: Sequence[float],
-    accuracy: int = 1_000,
-    more: Sequence[Column] = (),
-) -> tuple[dict[tuple[str, float], float | None], Row]:
-    """Exact discrete percentiles: the smallest value with at least ``p * n`` rows up to it.
-
-    Two passes at every size. The first counts the rows and brackets each percentile with a
-    sketch, whose error is bounded, so that the percentile lies within; it also computes ``more``
-    and its row is returned as well. The second counts the rows below each bracket and, inside
-    of it, the rows of each value, all in one partially aggregated grouping, so a value that
-    holds a large share of the rows is one row a task. These counts, a few thousandths of the
-    data, are sorted and checkpointed; sums by sort partition tell which partition holds a
-    percentile, and only that one is summed up value by value.
+    accuracy: int = 2_000,
+    held: int = HELD,
+) -> tuple[dict[str, dict[str, float | None]], dict[tuple[str, float], float | None]]:
+    """Mean, sample std, min and max of each column, and exact discrete percentiles of it.
+
+    A percentile is the smallest value with at least ``p * n`` rows up to it. The first pass
+    makes one mergeable sketch per column (KLL) on two levels, which brackets each percentile at
+    three times its error. The second counts, in one partially aggregated grouping, the rows
+    between the ends of the brackets, those at the ends, and inside of brackets those of each
+    value. What it returns is a few thousandths of the values, from which the percentiles are
+    read off; a value that holds a large share of the rows is one row a task.
+
+    Where a bracket would hold more than ``held`` values, the pass only counts, and the rows inside
+    are sketched and counted again, so that what a pass returns stays bounded at every size: two
+    passes up to about four million rows, then two more for every further factor of 200. A bracket
+    that a sketch got wrong is noticed by the counts, and the search goes on where the percentile
+    is. Values are never sorted, shuffled or checkpointed. NULL counts as no value, NaN as the
+    largest.
     """
-    slots = [(name, point) for name in columns for point in points]
-    margin = 2.0 / accuracy
-    sketches = []
-    for name in columns:
-        ends = [end for p in points for end in (max(0.0, p - margin), min(1.0, p + margin))]
-        sketches.append(F.percentile_approx(F.col(name).cast("double"), ends, accuracy).alias(f"_s_{name}"))
-    first = df.agg(*more, *[F.count(name).alias(f"_n_{name}") for name in columns], *sketches).first()
-    entries, ranks = [], {}
-    for i, (name, point) in enumerate(slots):
-        if not first[f"_n_{name}"]:
-            continue
-        ranks[i] = max(1, math.ceil(Fraction(str(point)) * first[f"_n_{name}"]))
-        at = 2 * (i % len(points))
-        low, high = first[f"_s_{name}"][at : at + 2]
-        value = F.col(name).cast("double")
-        inside = F.when(value >= low, value)  # NULL stands for all rows below
-        entries.append(F.when(value <= high, F.struct(F.lit(i).alias("slot"), inside.alias("value"))))
-    found: dict[tuple[str, float], float | None] = dict.fromkeys(slots)
-    if not entries:
-        return found, first
-    shared_dir(df.sparkSession)
-    counts = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.slot", "e.value").count().orderBy("slot", F.asc_nulls_first("value")).checkpoint()
-        .withColumn("part", F.spark_partition_id())
-    )
-    before = dict.fromkeys(ranks, 0)
-    target: dict[int, tuple[int, int]] = {}
-    for row in sorted(counts.groupBy("part", "slot").agg(F.sum("count").alias("n")).collect()):
-        if row.slot not in target and before[row.slot] + row.n >= ranks[row.slot]:
-            target[row.slot] = row.part, ranks[row.slot] - before[row.slot]
-        before[row.slot] += row.n
-    chosen = functools.reduce(
-        lambda a, b: a | b, [(F.col("slot") == i) & (F.col("part") == p) for i, (p, _) in target.items()]
-    )
-    needed = F.create_map(*[F.lit(x) for i, (_, n) in target.items() for x in (i, n)])
-    running = F.sum("count").over(W.partitionBy("slot").orderBy(F.asc_nulls_first("value")))
-    hits = (
-        counts.filter(chosen).withColumn("running", running)
-        .filter(F.col("running") >= needed[F.col("slot")])
-        .groupBy("slot").agg(F.min_by("value", "running").alias("value"))
-    )
-    for row in hits.collect():
-        if row.value is None:
-            raise ArithmeticError(f"a sketch of {slots[row.slot][0]} misses its percentile")
-        found[slots[row.slot]] = row.value
-    return found, first
+    margin = 3.0 / accuracy
+    wanted = [0.0, *[end for p in points for end in (p - margin, p + margin)], 1.0]
+    value = {name: F.col(name).cast("double") for name in columns}
+    summary: dict[str, dict[str, float | None]] = {}
+    found: dict[tuple[str, float], float | None] = {}
+    open_: list[_Search] = []
+    for name, (ends, parts) in zip(columns, _sketched(df, list(value.values()), [wanted] * len(columns), accuracy)):
+        rows, mean, std = _moments(parts)
+        plain = sum(p.plain for p in parts)
+        low, high = (ends[0], ends[-1]) if ends else (None, None)
+        if rows > plain:
+            low, high = (low if ends else math.nan), math.nan
+        summary[name] = {"mean": mean, "std": std, "min": low, "max": high}
+        for at, point in enumerate(points):
+            place = max(1, math.ceil(Fraction(str(point)) * rows))
+            found[name, point] = math.nan if place > plain and rows else None
+            if place <= plain and rows == plain:
+                open_.append(_Search(name, point, place, ends[2 * at + 1], ends[2 * at + 2], math.ceil(3 * margin * rows)))
+            elif place <= plain:  # NaN moves the others' shares, which only counts can tell
+                open_.append(_Search(name, point, place, -math.inf, math.inf, plain))
+    while open_:
+        classes, wide, shares = _counted(df, value, open_, held), [], []
+        for search in open_:
+            share = _located(search, classes[search.name], found)
+            if share is not None:
+                wide.append(search)
+                shares.append([share - margin, share + margin])
+        open_ = wide
+        large = [(s, share) for s, share in zip(wide, shares) if s.inside > held]
+        if large:
+            within = [F.when((value[s.name] > s.low) & (value[s.name] < s.high), value[s.name]) for s, _ in large]
+            for (search, _), (ends, _) in zip(large, _sketched(df, within, [share for _, share in large], accuracy)):
+                search.low, search.high, search.inside = ends[0], ends[1], math.ceil(3 * margin * search.inside)
+    return summary, found
+
+
+def _counted(df: DataFrame, value: dict[str, Column], searches: Sequence[_Search], held: int) -> dict[str, list[tuple]]:
+    """Per column, in order: low end, high end (equal for a single value), rows, and the rows of each value or None.
+
+    Values are told apart inside of brackets of few rows only.
+    """
+    names = sorted({s.name for s in searches})
+    entries, bounds = [], {}
+    for j, name in enumerate(names):
+        own, v = [s for s in searches if s.name == name], value[name]
+        cuts = sorted({end for s in own for end in (s.low, s.high)})
+        code = F
+        for i, cut in enumerate(cuts):
+            code = code.when(v < cut, 2 * i).when(v == cut, 2 * i + 1)
+        bounds[name] = [b for a, c in zip([-math.inf, *cuts], cuts) for b in ((a, c), (c, c))] + [(cuts[-1], math.inf)]
+        few = [s for s in own if s.inside <= held]
+        told = functools.reduce(lambda a, b: a | b, [(v > s.low) & (v < s.high) for s in few], F.lit(False))
+        shown = F.when(told & ~v.isin(*cuts), v)
+        entry = F.struct(F.lit(j).alias("column"), code.otherwise(2 * len(cuts)).alias("class"), shown.alias("value"))
+        entries.append(F.when(v.isNotNull() & ~F.isnan(v), entry))
+    counts = df.select(F.inline(F.array(*entries))).where("column is not null").groupBy("column", "class", "value").count().collect()
+    out: dict[str, list[tuple]] = {}
+    for j, name in enumerate(names):
+        own = [r for r in counts if r["column"] == j]
+        out[name] = []
+        for k, (low, high) in enumerate(bounds[name]):
+            rows = [r for r in own if r["class"] == k]
+            told = [(r.value, r["count"]) for r in rows if r.value is not None]
+            out[name].append((low, high, sum(r["count"] for r in rows), sorted(told) or None))
+    return out
+
+
+def _located(search: _Search, classes: Sequence[tuple], found: dict) -> float | None:
+    """Note the percentile if the counts tell it; else narrow the bracket and give its share of the inside."""
+    place = search.place
+    for low, high, rows, told in classes:
+        if place > rows:
+            place -= rows
+        elif low == high:
+            found[search.name, search.point] = low
+            return None
+        elif told:
+            for known, times in told:
+                if place <= times:
+                    found[search.name, search.point] = known
+                    return None
+                place -= times
+        else:
+            search.low, search.high, search.inside = low, high, rows
+            return place / rows
+    raise ArithmeticError(f"the table changed while percentiles of {search.name} were searched")
+
+
+def exact_percentiles(
+    df: DataFrame, columns: Sequence[str], points: Sequence[float], accuracy: int = 2_000, held: int = HELD
+) -> tuple[dict[tuple[str, float], float | None], dict[str, dict[str, float | None]]]:
+    """Exact discrete percentiles and the other figures of :func:`exact_summary`."""
+    summary, found = exact_summary(df, columns, points, accuracy, held)
+    return found, summary
 
 
 # --- groups -------------------------------------------------------------------------------
