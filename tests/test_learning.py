@@ -1,12 +1,14 @@
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     MulticlassClassificationEvaluator,
 )
 from pyspark.sql import functions as F
 
-from timbrelake.operators import learning
+from timbrelake.constants import LOGISTIC
+from timbrelake.operators import learning, tag_models
 from timbrelake.plans import views
 from timbrelake.session import scratch_path
 
@@ -91,6 +93,56 @@ def test_one_vs_rest(blobs, kind, params):
     assert {r["genre"] for r in few.collect()} == {"a", "b"}
 
 
+def test_all_tags_at_once_equal_a_fit_for_each(spark, monkeypatch):
+    """Weights of every tag against Spark ML's own fit, rare and overlapping tags included."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(900, 5)) * [1, 3, 0.2, 1, 1] + [0, 5, 0, 0, 0]
+    x[:, 4] = 2 * x[:, 0] + 0.1 * x[:, 4]
+    rare = set(draw.choice(900, 12, replace=False).tolist())
+    data = []
+    for i, row in enumerate(x.tolist()):
+        tags = [t for t, yes in (("a", row[0] + draw.normal() > 0), ("b", row[1] > 6), ("c", i % 3 == 0), ("d", i in rare)) if yes]
+        data.append((f"k{i}", tags + tags[:1], *row))
+    names = ["v", "w", "x", "y", "z"]
+    frame = spark.createDataFrame(data, "key STRING, genres ARRAY<STRING>, " + ", ".join(f"{n} DOUBLE" for n in names)).repartition(5)
+    passes = []
+    losses = tag_models._losses
+    monkeypatch.setattr(tag_models, "_losses", lambda *a: (passes.append(len(a[2])), losses(*a))[1])
+    scores, models = learning.one_vs_rest(frame, "key", names, at_least=5)
+    few = len(passes)
+    assert few < 40 and passes[0] == 4
+    areas = {r["genre"]: r["auc"] for r in scores.collect()}
+    assembled = learning.assembler(names, "features_raw").transform(frame)
+    train, test = learning.hash_split(assembled, "key")
+    scaling = learning.scaler().fit(train)
+    train, test = scaling.transform(train), scaling.transform(test)
+    for tag, model in models.items():
+        label = F.array_contains("genres", tag).cast("double")
+        fitted = LogisticRegression(**(LOGISTIC | {"tol": 1e-12, "maxIter": 500})).fit(train.withColumn("label", label))
+        assert model.coefficients.toArray() == pytest.approx(fitted.coefficients.toArray(), abs=1e-4)
+        assert model.intercept == pytest.approx(fitted.intercept, abs=1e-4)
+        scored = model.transform(test.withColumn("label", label))
+        expected = BinaryClassificationEvaluator(numBins=0).evaluate(scored)
+        assert areas[tag] == pytest.approx(expected, abs=1e-9)
+    monkeypatch.setattr(tag_models, "WEIGHTS", 12)  # two tags a group
+    again = learning.one_vs_rest(frame, "key", names, at_least=5)[1]
+    for tag, model in models.items():
+        assert again[tag].coefficients.toArray() == pytest.approx(model.coefficients.toArray(), abs=1e-6)
+    passes.clear()
+    monkeypatch.setattr(tag_models, "WEIGHTS", 1 << 23)
+    learning.one_vs_rest(frame, "key", names, at_least=300)
+    assert 0 < passes[0] < 4 and len(passes) <= few + 2  # passes do not follow the number of tags
+
+
+def test_areas_of_groups(spark):
+    data = [("a", 1.0, 0.5), ("a", 0.0, 0.5), ("a", 1.0, 0.7), ("a", None, 0.1), ("a", 1.0, None), ("b", 0.0, 1.0), ("c", 1.0, 1.0)]
+    frame = spark.createDataFrame(data, "g STRING, label DOUBLE, score DOUBLE")
+    assert {tuple(r) for r in tag_models.areas_under_roc(frame, "g").collect()} == {("a", 0.75), ("b", 0.0), ("c", 1.0)}
+    assert learning.area_under_roc(frame.limit(0), "label", "score") == 0.0
+    plan = tag_models.areas_under_roc(frame, "g")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "SinglePartition" not in plan
+
+
 def test_save_load_and_predict(spark, blobs):
     path = scratch_path(spark, "model")
     assert learning.load_model(path) is None

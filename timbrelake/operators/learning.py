@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.util import Identifiable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,8 @@ from timbrelake.constants import BINARY_FOREST, FOREST, LOGISTIC, TRAIN_PERCENT
 from timbrelake.functions.arrays import top_entries
 from timbrelake.functions.keys import stable_bucket, tag_indicator
 from timbrelake.operators.profile import class_balance
-from timbrelake.session import path_exists
+from timbrelake.operators.tag_models import areas_under_roc, fit_logistic, tag_matrix, tag_scores
+from timbrelake.session import path_exists, scratch_path
 
 
 def hash_split(
@@ -96,10 +98,8 @@ def classification_metrics(
 
 
 def area_under_roc(predictions: DataFrame, label: str, score: str) -> float:
-    """Exact area under ROC: no binning of scores. Sorted and summed by Spark in parallel."""
-    return BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=0
-    ).evaluate(predictions)
+    """Exact area under ROC: no binning of scores, see :func:`tag_models.areas_under_roc`; 0 of nothing."""
+    return areas_under_roc(predictions, label=label, score=score).first()["auc"] or 0.0
 
 
 def one_vs_rest(
@@ -110,12 +110,17 @@ def one_vs_rest(
     tags: str = "genres",
     at_least: int = 20,
     parallelism: int = 4,
+    held_out: bool = True,
     **params,
 ) -> tuple[DataFrame, dict]:
     """A binary classifier per sufficiently frequent tag: table of scores, and the models.
 
-    Vectors are assembled and scaled once and kept for all fits; balances of all tags come from
-    one aggregation. The fits are Spark jobs, of which ``parallelism`` run side by side.
+    Vectors are assembled and scaled once and written to the shared folder; balances of all tags
+    come from one aggregation. Logistic models are fitted side by side, with one pass over the
+    rows for each step of all of them (:func:`tag_models.fit_logistic`, which takes ``regParam``
+    and ``maxIter`` of the parameters), and all areas under ROC come from one pass. Forests share
+    nothing but their rows: they are Spark jobs, of which ``parallelism`` run side by side. Scores
+    are those of the held-out rows, or of the training rows without ``held_out``.
     """
     spark = df.sparkSession
     logistic = kind == "logistic"
@@ -129,39 +134,56 @@ def one_vs_rest(
         for row in df.select(F.explode(tags).alias("genre")).groupBy("genre").count()
         .filter(F.col("count") >= at_least).select("genre").collect()
     ]
-    train = train.select(tags, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.select(tags, "features").persist(StorageLevel.MEMORY_AND_DISK)
     wanted = F.array(*[F.lit(tag) for tag in supported])
     balance = {
         row["genre"]: (row["pos"], row["neg"])
         for row in class_balance(train, tags, 1)
         .filter(F.array_contains(wanted, F.col("genre"))).collect()
     } if supported else {}
+    names = sorted(balance)
+    both = train.withColumn("test", F.lit(False)).unionByName(test.withColumn("test", F.lit(True)))
+    fit = _logistic_models if logistic else _forest_models
+    models, areas = fit(both, tags, names, [balance[n][0] for n in names], held_out, parallelism, params)
+    rows = [(tag, *balance[tag], areas.get(tag, 0.0)) for tag in names]
+    scores = spark.createDataFrame(rows, "genre STRING, pos BIGINT, neg BIGINT, auc DOUBLE")
+    return scores.orderBy(F.desc("pos"), "genre"), models
+
+
+def _logistic_models(both, tags, names, positives, held_out, parallelism, params) -> tuple[dict, dict]:
+    settings = LOGISTIC | params
+    matrix = tag_matrix(both, "features", tags, names, "test")
+    train = matrix.filter(~F.col("test"))
+    theta = fit_logistic(train, positives, settings["regParam"], passes=settings["maxIter"])
+    scored = tag_scores(matrix.filter("test") if held_out else train, theta)
+    areas = {names[r["tag"]]: r["auc"] for r in areas_under_roc(scored, "tag").collect()}
+    return {tag: _logistic_model(row) for tag, row in zip(names, theta)}, areas
+
+
+def _logistic_model(weights) -> LogisticRegressionModel:
+    """A Spark model with these weights, the intercept last."""
+    jvm = SparkSession.active()._jvm
+    made = jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        Identifiable().uid,
+        _py2java(SparkSession.active().sparkContext, Vectors.dense(weights[:-1])), float(weights[-1]),
+    )
+    return LogisticRegressionModel(made)
+
+
+def _forest_models(both, tags, names, positives, held_out, parallelism, params) -> tuple[dict, dict]:
+    path = scratch_path(both.sparkSession, "tag-vectors")
+    both.select(F.col(tags).alias("tags"), "features", "test").write.parquet(path)
+    rows = both.sparkSession.read.parquet(path)
 
     def fit(tag: str) -> tuple:
-        labelled = train.withColumn("label", tag_indicator(F.col(tags), tag))
-        if logistic:
-            estimator = LogisticRegression(
-                featuresCol="features", labelCol="label", **(LOGISTIC | params)
-            )
-        else:
-            estimator = RandomForestClassifier(
-                featuresCol="features", labelCol="label", **(BINARY_FOREST | params)
-            )
-        model = estimator.fit(labelled)
-        scored = model.transform(test.withColumn("label", tag_indicator(F.col(tags), tag)))
-        score = "rawPrediction" if logistic else "probability"
-        return tag, model, area_under_roc(scored, "label", score)
-
-    try:
-        with ThreadPool(max(1, min(parallelism, len(balance) or 1))) as pool:
-            fitted = pool.map(fit, sorted(balance))
-    finally:
-        train.unpersist()
-        test.unpersist()
-    rows = [(tag, *balance[tag], auc) for tag, _, auc in fitted]
-    scores = spark.createDataFrame(rows, "genre STRING, pos BIGINT, neg BIGINT, auc DOUBLE")
-    return scores.orderBy(F.desc("pos"), "genre"), {tag: model for tag, model, _ in fitted}
+        labelled = rows.withColumn("label", tag_indicator(F.col("tags"), tag))
+        estimator = RandomForestClassifier(featuresCol="features", labelCol="label", **(BINARY_FOREST | params))
+        model = estimator.fit(labelled.filter(~F.col("test")))
+        scored = model.transform(labelled.filter(F.col("test") == held_out))
+        return model, area_under_roc(scored.withColumn("score", vector_to_array("probability")[1]), "label", "score")
+
+    with ThreadPool(max(1, min(parallelism, len(names) or 1))) as pool:
+        fitted = dict(zip(names, pool.map(fit, names)))
+    return {n: m for n, (m, _) in fitted.items()}, {n: a for n, (_, a) in fitted.items()}
 
 
 def save_model(model: PipelineModel, path: str) -> None:

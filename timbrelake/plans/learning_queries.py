@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from timbrelake.constants import BINARY_FOREST
 from timbrelake.operators import learning
 from timbrelake.operators.filters import feature_columns, with_label
 from timbrelake.operators.profile import rounded
@@ -145,23 +146,44 @@ SELECT genre, pos, (SELECT sum(pos) FROM counts)::BIGINT - pos AS neg, TRUE AS s
 FROM counts WHERE total >= 20"""
 
 
-def _one_vs_rest(spark, root, kind):
-    """Training rows of each genre and the others, and whether the area under ROC is one."""
+def _one_vs_rest(spark, root, kind, sound):
+    """Training rows of each genre and the others, and whether the genre's model passes a test of its fit."""
     rows = views.vectors(spark, root)
     features = feature_columns(rows, ["vec_id"])
     tagged = rows.withColumn("genres", F.array("genre"))
-    scores, _ = learning.one_vs_rest(tagged, "vec_id", features, kind)
-    return scores.select("genre", "pos", "neg", F.col("auc").between(0, 1).alias("sound"))
+    scores, models = learning.one_vs_rest(tagged, "vec_id", features, kind, held_out=False)
+    passed = spark.createDataFrame(sound(tagged, features, models), "genre STRING, fits BOOLEAN")
+    return scores.join(passed, "genre").select("genre", "pos", "neg", ((F.col("auc") > 0.5) & F.col("fits")).alias("sound"))
+
+
+def _calibrated(rows, features, models):
+    """Whether the mean probability on the training rows is the share of the genre, as at the optimum only."""
+    raw = learning.assembler(features, "features_raw").transform(rows)
+    train, _ = learning.hash_split(raw, "vec_id")
+    train = learning.scaler().fit(train).transform(train).select("genres", vector_to_array("features").alias("x"))
+    gaps = []
+    for i, (genre, model) in enumerate(models.items()):
+        weights = F.array(*[F.lit(w) for w in model.coefficients.toArray().tolist()])
+        margin = F.aggregate(F.zip_with("x", weights, lambda a, b: a * b), F.lit(float(model.intercept)), lambda a, b: a + b)
+        has = F.array_contains("genres", genre).cast("double")
+        gaps.append(F.avg(1 / (1 + F.exp(-margin)) - has).alias(f"g{i}"))
+    found = train.agg(*gaps).first() if gaps else []
+    return [(genre, abs(gap) < 1e-6) for genre, gap in zip(models, found)]
+
+
+def _grown(rows, features, models):
+    """Whether the forest has all its trees."""
+    return [(genre, model.getNumTrees == BINARY_FOREST["numTrees"]) for genre, model in models.items()]
 
 
 @query(_ONE_VS_REST)
 def ovr_logistic(spark, root):
-    return _one_vs_rest(spark, root, "logistic")
+    return _one_vs_rest(spark, root, "logistic", _calibrated)
 
 
 @query(_ONE_VS_REST)
 def ovr_forest(spark, root):
-    return _one_vs_rest(spark, root, "forest")
+    return _one_vs_rest(spark, root, "forest", _grown)
 
 
 def _forest(spark, root):
