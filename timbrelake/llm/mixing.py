@@ -88,7 +88,8 @@ def copies(
     their names. ``docs`` has to give the same rows in the same partitions whenever it is read, as
     a written table does. A source may have up to 2**40 rows.
     """
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
+    own = [c for c in docs.columns if c not in ADDED]
+    names = [f"c{i}" for i in range(len(own))]
     hashed = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     tie = F.xxhash64(*(F.col(f"`{c}`") for c in hashed)) if order is None else order
     key = F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`").cast("string")), F.lit(""))
@@ -112,8 +113,8 @@ def copies(
     rank = F.col("before") + F.col("at")
     crossed = F.shiftright((rank + 1) * F.col("step") + F.col("offset"), BITS) - F.shiftright(rank * F.col("step") + F.col("offset"), BITS)
     drawn = placed.join(steps, ["key", "part"]).select("uid", "size", "source_size", "target", crossed.cast("int").alias("copies"))
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*own).alias("row"))
-    return rows.join(drawn, "uid").select("row.*", *ADDED)
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), *(F.col(f"`{c}`").alias(n) for n, c in zip(names, own)))
+    return rows.join(drawn, "uid").select(*(F.col(n).alias(c) for n, c in zip(names, own)), *ADDED)
 
 
 def mix(docs: DataFrame, size: Column, **settings) -> DataFrame:
