@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from timbrelake import sinks, sources
 from timbrelake.session import scratch_path, shared_dir
+from timbrelake.sources import listing
 
 HEADER = "TRACK_ID\tARTIST_ID\tALBUM_ID\tPATH\tDURATION\tTAGS\n"
 LINES = [
@@ -81,7 +82,9 @@ def test_listing_reads_no_content(spark, tmp_path):
     found = sources.list_files(spark, str(tmp_path))
     assert sorted(r["path"].rsplit("/", 1)[1] for r in found.collect()) == ["a.wav", "b.wav"]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string>" in plan
+    assert "folder_listing" in plan and "content" not in plan
+    read = sources.list_files(spark, str(tmp_path), content=True).select("path")
+    assert "ReadSchema: struct<path:string>" in read._jdf.queryExecution().executedPlan().toString()
     flat = sources.list_files(spark, str(tmp_path), recursive=False)
     assert [r["path"].rsplit("/", 1)[1] for r in flat.collect()] == ["a.wav"]
 
@@ -140,3 +143,41 @@ def test_manifest_keeps_names_and_refuses_lines_without_one(spark, tmp_path):
     (tmp_path / "bad.txt").write_text("aa one.tar\nbb\n")
     with pytest.raises(Exception, match="manifest"):
         sources.read_manifest(spark, str(tmp_path / "bad.txt")).collect()
+
+
+def _tree(top):
+    """Files at several depths, odd names and names that do not count."""
+    names = ["a.wav", "x/b.wav", "x/y/c.wav", "x/y/z/d e.wav", "p=1/e.wav", "_p=2/f.wav", "x/é[1].wav", "x/g.txt", "q/h{1}.WAV",
+             "_hidden/i.wav", ".dot/j.wav", "x/_k.wav", "x/.l.wav", "x/y/m.wav.tmp"]
+    for i, name in enumerate(names):
+        path = top / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"." * i)
+
+
+@pytest.mark.parametrize("folders", [1, 3, 256])
+@pytest.mark.parametrize("glob", ["*.wav", "*", "?.{wav,txt}", "[!a-c]*.wav", "é\\[1\\]*"])
+def test_executors_list_what_the_binary_source_lists(spark, tmp_path, folders, glob):
+    _tree(tmp_path)
+    ours = sources.list_folders(spark, str(tmp_path), glob, folders=folders)
+    theirs = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(str(tmp_path))
+    want = rows(theirs.select("path", "length", F.col("modificationTime").cast("long")))
+    assert rows(ours.select("path", "length", F.col("modificationTime").cast("long"))) == want and want
+
+
+def test_listing_spreads_folders_and_keeps_only_them(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"f{i}").mkdir()
+        for j in range(5):
+            (tmp_path / f"f{i}" / f"{j}.wav").write_bytes(b"x")
+    reader = listing._Reader({"path": f"file:{tmp_path}", "glob": "*.wav"})
+    parts = reader.partitions()
+    assert len(parts) == 13 and all(not p.deep for p in parts)
+    few = listing._Reader({"path": f"file:{tmp_path}", "folders": "5"}).partitions()
+    assert [p.deep for p in few] == [False] + [True] * 12
+    frame = sources.list_folders(spark, str(tmp_path), "*.wav", folders=5)
+    assert frame.count() == 60 and frame.rdd.getNumPartitions() == 13
+    with pytest.raises(FileNotFoundError):
+        sources.list_folders(spark, str(tmp_path / "none"))
+    assert sources.list_folders(spark, f"{tmp_path}/f*") is None
+    assert sources.list_files(spark, f"{tmp_path}/f*").count() == 60

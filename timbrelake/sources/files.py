@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from timbrelake.constants import SAMPLE_FRACTION, SAMPLE_SEED
 from timbrelake.operators.ordering import global_index
+from timbrelake.sources.listing import list_folders
 
 
 def list_files(
@@ -19,7 +20,15 @@ def list_files(
     recursive: bool = True,
     content: bool = False,
 ) -> DataFrame:
-    """Files below ``root`` matching ``glob``; bytes are read only when ``content`` is asked for."""
+    """Files below ``root`` matching ``glob``; bytes are read only when ``content`` is asked for.
+
+    Without bytes the executors list the folders where they can (:mod:`timbrelake.sources.listing`);
+    otherwise, and with bytes, Spark's binary file source does, whose names the driver holds.
+    """
+    if not content:
+        listed = list_folders(spark, root, glob, recursive)
+        if listed is not None:
+            return listed.select("path")
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
