@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,11 +59,13 @@ def write_catalogue(
 
 
 def write_lines(df: DataFrame, path: str, header: str) -> None:
-    """The ``line`` column as it is, below a header line in every file."""
-
-    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield pa.record_batch([pa.array([header], pa.string())], ["value"])
-        for batch in batches:
-            yield pa.record_batch([batch.column(0).cast(pa.string())], ["value"])
-
-    df.select("line").mapInArrow(headed, "value STRING").write.mode("overwrite").text(path)
+    """The ``line`` column as it is, below a header line in every file; without rows, the header alone.
+
+    The first row of each partition brings the header with it. A row of its own stands for a
+    table without any, and gives a file that holds the header only.
+    """
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    both = F.when(first, F.array(F.lit(header), F.col("line"))).otherwise(F.array(F.col("line")))
+    rows = df.select(F.explode(both).alias("value"))
+    alone = df.sparkSession.range(0, 1, 1, 1).select(F.lit(header).alias("value"))
+    rows.union(alone).write.mode("overwrite").text(path)
