@@ -3,6 +3,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from timbrelake import sinks, sources
+from timbrelake.operators import joins
 from timbrelake.session import scratch_path, shared_dir
 from timbrelake.sources import listing
 
@@ -181,3 +182,28 @@ def test_listing_spreads_folders_and_keeps_only_them(spark, tmp_path):
         sources.list_folders(spark, str(tmp_path / "none"))
     assert sources.list_folders(spark, f"{tmp_path}/f*") is None
     assert sources.list_files(spark, f"{tmp_path}/f*").count() == 60
+
+
+def test_bucketed_store_joins_without_an_exchange(spark, tmp_path):
+    path = f"{tmp_path}/store"
+    frame = spark.range(0, 900, 1, 3).select((F.col("id") % 100).cast("int").alias("track_num"), F.col("id").alias("odd `name"), F.lit("x").alias("y"))
+    sinks.write_bucketed(frame.filter("track_num < 50"), path, "track_num", 6)
+    first = sources.read_bucketed(spark, path)
+    assert first.count() == 450
+    sinks.write_bucketed(frame.filter("track_num >= 50"), path, "track_num", append=True)
+    store = sources.read_bucketed(spark, path)
+    assert rows(store) == rows(frame)
+    other = spark.range(100).select(F.col("id").cast("int").alias("track_num"), F.array(F.lit("g")).alias("genres")).repartition(5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joins.enrich(store, other)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        scan = next(i for i, line in enumerate(plan.splitlines()) if "FileScan" in line)
+        assert not any("Exchange" in line for line in plan.splitlines()[scan - 4 : scan]) and plan.count("Exchange hashpartitioning") == 1
+        assert joined.count() == 900
+        both = store.join(sources.read_bucketed(spark, path).groupBy("track_num").count(), "track_num")
+        assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString() and both.count() == 900
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError):
+        sinks.write_bucketed(frame, path, "y", append=True)

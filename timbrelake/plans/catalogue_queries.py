@@ -162,7 +162,7 @@ def assign_user(spark, root):
 # --- joins ----------------------------------------------------------------------------------
 
 
-@query("""WITH features AS (
+_ENRICHED = """WITH features AS (
   SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'broken'
          ELSE 'data/' || CAST(o_custkey AS VARCHAR) || '.low.wav' END AS path FROM orders),
 keyed AS (SELECT *, TRY_CAST(regexp_extract(path, '([^/]+)\\.low\\.wav$', 1) AS INTEGER)
@@ -172,8 +172,28 @@ meta AS (SELECT 'track_' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS TRACK_ID
                 lower(c_mktsegment) || '|s' || CAST(c_nationkey AS VARCHAR) AS genres
          FROM customer)
 SELECT track_num, o_orderkey, path, TRACK_ID, meta_path, genres FROM keyed JOIN meta
-USING (track_num)""")
+USING (track_num)"""
+
+
+@query(_ENRICHED)
 def enrich_join(spark, root):
+    features, metadata = _features_and_metadata(spark, root)
+    return joins.enrich(features, metadata).withColumn("genres", F.array_join("genres", "|"))
+
+
+@query(_ENRICHED)
+def enrich_bucketed(spark, root):
+    """The same join from a feature store bucketed by the key, which is read without an exchange."""
+    features, metadata = _features_and_metadata(spark, root)
+    path = scratch_path(spark, "store")
+    half = F.col("o_orderkey") % 2 == 0
+    sinks.write_bucketed(features.filter(half), path, "track_num")
+    sinks.write_bucketed(features.filter(~half), path, "track_num", append=True)
+    joined = joins.enrich(sources.read_bucketed(spark, path), metadata)
+    return joined.withColumn("genres", F.array_join("genres", "|"))
+
+
+def _features_and_metadata(spark, root):
     path = F.concat(F.lit("data/"), F.col("o_custkey").cast("string"), F.lit(".low.wav"))
     features = views.table(spark, root, "orders").select(
         "o_orderkey", F.when(F.col("o_orderkey") % 13 == 0, "broken").otherwise(path).alias("path")
@@ -187,10 +207,7 @@ def enrich_join(spark, root):
             F.lit("\tgenre---s"), F.col("c_nationkey").cast("string"),
         ).alias("TAGS"),
     )
-    joined = joins.enrich(
-        joins.keyed_features(features, pattern=FILE_KEY_PATTERN), joins.keyed_metadata(metadata)
-    )
-    return joined.withColumn("genres", F.array_join("genres", "|"))
+    return joins.keyed_features(features, pattern=FILE_KEY_PATTERN), joins.keyed_metadata(metadata)
 
 
 @query(f"WITH {views.LISTING} SELECT name, source FROM listing WHERE NOT is_done")

@@ -4,6 +4,7 @@ from timbrelake.sinks.tables import (
     append_history,
     append_partitioned,
     overwrite,
+    write_bucketed,
     write_catalogue,
     write_lines,
     write_shard,
@@ -12,6 +13,6 @@ from timbrelake.sinks.tables import (
 )
 
 __all__ = [
-    "append_history", "append_partitioned", "overwrite", "write_catalogue", "write_lines",
+    "append_history", "append_partitioned", "overwrite", "write_bucketed", "write_catalogue", "write_lines",
     "write_shard", "write_shards", "write_tsv",
 ]

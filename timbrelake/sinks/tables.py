@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from timbrelake.constants import CATALOGUE_FIELDS
 from timbrelake.operators.filters import only_ok
+from timbrelake.sources.tables import open_bucketed
 
 # The writer trims values unless told not to.
 _UNTRIMMED = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -69,3 +71,30 @@ def write_lines(df: DataFrame, path: str, header: str) -> None:
     rows = df.select(F.explode(both).alias("value"))
     alone = df.sparkSession.range(0, 1, 1, 1).select(F.lit(header).alias("value"))
     rows.union(alone).write.mode("overwrite").text(path)
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None, append: bool = False) -> None:
+    """Feature store by key: files of ``buckets`` hash buckets of the key, each sorted by it.
+
+    Two stores with the same number of buckets, or a store and any other table, join by the key
+    without an exchange of the store (:func:`timbrelake.sources.read_bucketed`). The number of
+    buckets is kept beside the data; by default it is that of shuffle partitions, below which
+    Spark would rather shuffle both sides. An appended part adds one file to each bucket.
+    """
+    spark = df.sparkSession
+    layout = f"{path}_layout"
+    if append:
+        known = spark.read.json(layout).first()
+        if known["key"] != key:
+            raise ValueError(f"the store at {path} is bucketed by {known['key']}")
+        buckets = known["buckets"]
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"store_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, F.col(key)).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet")
+    if append:
+        open_bucketed(spark, path, name)
+    writer.mode("append" if append else "overwrite").saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # the data stay: the table is an external one
+    if not append:
+        described = spark.range(0, 1, 1, 1).select(F.lit(key).alias("key"), F.lit(buckets).alias("buckets"))
+        described.write.mode("overwrite").json(layout)

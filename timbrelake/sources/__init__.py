@@ -5,6 +5,8 @@ from timbrelake.sources.listing import list_folders
 from timbrelake.sources.tables import (
     catalogue_paths,
     header_of,
+    open_bucketed,
+    read_bucketed,
     read_catalogue,
     read_dataset,
     read_lines,
@@ -14,6 +16,6 @@ from timbrelake.sources.tables import (
 )
 
 __all__ = [
-    "catalogue_paths", "header_of", "list_by_prefix", "list_files", "list_folders", "read_catalogue",
+    "catalogue_paths", "header_of", "list_by_prefix", "list_files", "list_folders", "open_bucketed", "read_bucketed", "read_catalogue",
     "read_dataset", "read_files", "read_lines", "read_manifest", "read_tsv", "rows_of", "sample_names",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,30 @@ def read_dataset(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def open_bucketed(spark: SparkSession, path: str, name: str) -> None:
+    """Make a bucketed store known to the session's catalogue under a name."""
+    known = spark.read.json(f"{path}_layout").first()
+    key, buckets = known["key"], known["buckets"]
+    columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({_quoted(key)}) SORTED BY ({_quoted(key)}) "
+        f"INTO {buckets} BUCKETS LOCATION '{place}'"
+    )
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """A store of :func:`timbrelake.sinks.write_bucketed`, whose joins and groupings by its key need no exchange."""
+    name = "store_" + hashlib.md5(path.encode()).hexdigest()
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # columns or buckets may have changed
+    open_bucketed(spark, path, name)
+    return spark.table(name)
+
+
 def read_tsv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Headered tab-separated file with string columns only, so no inference pass is needed."""
     reader = spark.read.option("header", True).option("sep", "\t")
