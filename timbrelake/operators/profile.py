@@ -429,15 +429,12 @@ def bucket_order(bucket: Column) -> Column:
 
 def bucket_histogram(df: DataFrame, column: str = "tempo") -> DataFrame:
     """Rows per band in band order, with running total and its share."""
+    return histogram_of(df.select(tempo_bucket(F.col(column)).alias("bucket")).groupBy("bucket").count())
+
+
+def histogram_of(counted: DataFrame) -> DataFrame:
+    """The same from bands that have been counted."""
     order = bucket_order(F.col("bucket"))
     so_far = W.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return (
-        df.select(tempo_bucket(F.col(column)).alias("bucket"))
-        .groupBy("bucket")
-        .count()
-        .withColumn("cumul", F.sum("count").over(so_far))
-        .withColumn(
-            "cumul_pct", rounded(F.col("cumul") / F.sum("count").over(_whole()) * 100, 1)
-        )
-        .orderBy(order)
-    )
+    share = rounded(F.col("cumul") / F.sum("count").over(_whole()) * 100, 1)
+    return counted.withColumn("cumul", F.sum("count").over(so_far)).withColumn("cumul_pct", share).orderBy(order)

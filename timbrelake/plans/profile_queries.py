@@ -14,9 +14,10 @@ from timbrelake.constants import (
 )
 from timbrelake.constants import BANDS
 from timbrelake.functions import arrays
-from timbrelake.operators import compare, profile
+from timbrelake.operators import compare, profile, rollup
 from timbrelake.plans import views
 from timbrelake.plans.registry import half_up, query
+from timbrelake.session import scratch_path
 
 # --- SQL parts shared by several queries ----------------------------------------------------
 
@@ -118,6 +119,21 @@ def group_profile(spark, root):
     return profile.group_profile(views.tracks(spark, root))
 
 
+def _rollup(spark, root):
+    """A roll-up of all tracks in four batches, the last two of which came later."""
+    rows = views.tracks(spark, root).withColumn("batch_id", F.col("l_linenumber") % 4)
+    path = scratch_path(spark, "rollup")
+    rollup.refresh(spark, rows.filter("batch_id < 2"), path)
+    rollup.refresh(spark, rows, path)
+    return spark.read.parquet(path)
+
+
+@query(f"WITH {views.TRACKS}, {PROFILE} SELECT * FROM profile")
+def rollup_profile(spark, root):
+    """Means of the largest genres from a stored roll-up that was refreshed."""
+    return profile.top_groups(rollup.group_profile(_rollup(spark, root)))
+
+
 @query('SELECT source, count(*) AS "count" FROM documents GROUP BY source '
        'ORDER BY "count" DESC, source LIMIT 12')
 def topk_groups(spark, root):
