@@ -90,6 +90,19 @@ def filter_date_range(spark, root):
     return filters.select_rows(sources.read_dataset(spark, path), chosen).select(*_NAMES)
 
 
+_RANGES = Selection(users=list(range(20, 30)), date_from="1995-01-01", date_to="1995-06-30", duration=(10, 20))
+
+
+@query(f"""WITH {views.TRACKS}
+SELECT {_COLUMNS} FROM tracks WHERE user_id BETWEEN 20 AND 29 AND duration BETWEEN 10 AND 20
+  AND uploaded_at BETWEEN '1995-01-01' AND '1995-06-30'""")
+def clustered_ranges(spark, root):
+    """Three ranges at once on a table written in the order of a space-filling key."""
+    path = scratch_path(spark, "clustered")
+    sinks.write_clustered(views.tracks(spark, root).select(*_NAMES), path, "uploaded_at", "duration", "user_id")
+    return filters.select_rows(sources.read_dataset(spark, path), _RANGES)
+
+
 @query(f"""WITH {views.TRACKS}
 SELECT {_COLUMNS} FROM tracks WHERE duration >= 10 AND duration <= 12""")
 def filter_numeric_range(spark, root):
