@@ -48,7 +48,7 @@ def test_key_interleaves_cells_and_takes_nulls(spark, tmp_path):
     )
     keys = {(r["a"], r["b"]): r["k"] for r in sinks.with_cluster_key(frame, ["a", "b"], "k", bits=3).collect()}
     assert keys[0.0, 0.0] == 0 and keys[7.0, 7.0] == max(v for (a, b), v in keys.items() if a is not None and b == b)
-    assert keys[5.0, 0.0] > keys[3.0, 7.0] and keys[0.0, 6.0] > keys[1.0, 3.0]
+    assert keys[7.0, 0.0] > keys[3.0, 7.0] and keys[0.0, 6.0] > keys[1.0, 3.0]
     sinks.write_clustered(frame, f"{tmp_path}/t", "a", "b", rows_per_file=10)
     again = spark.read.parquet(f"{tmp_path}/t")
     assert again.columns == frame.columns and again.count() == 64
