@@ -296,13 +296,13 @@ def extract_series(spark, root):
     return found.selectExpr("vec_id", *six("tempo"), *[shown(name) for name in SERIES])
 
 
-@query(f"""WITH {FRAMES}, {RMS}, {ZCR},
-parts AS (SELECT vec_id, avg(rms) AS rms, avg(zcr) AS zcr
-          FROM f_rms JOIN f_zcr USING (vec_id, frame) GROUP BY vec_id)
-SELECT vec_id, CAST(NOT (label IN (1, 2, 4)) AS INTEGER) AS ok,
-       CASE WHEN label IN (1, 2, 4) THEN 0 ELSE {r6('rms')} END AS rms_mean,
-       CASE WHEN label IN (1, 2, 4) THEN 0 ELSE {r6('zcr')} END AS zcr_mean
-FROM embeddings JOIN parts USING (vec_id)""")
+_BROKEN = "label IN (1, 2, 4)"
+
+
+@query(f"""WITH compact AS ({_compact_sql(compact_names())})
+SELECT vec_id, CAST(NOT ({_BROKEN}) AS INTEGER) AS ok,
+       {', '.join(f"CASE WHEN {_BROKEN} THEN 0 ELSE {name} END AS {name}" for name in compact_names())}
+FROM embeddings JOIN compact USING (vec_id)""")
 def safe_extract(spark, root):
     """Missing and too short signals, and those with a NULL in them, give a row of zeros."""
     broken = views.table(spark, root, "embeddings").select(
@@ -314,7 +314,7 @@ def safe_extract(spark, root):
         .otherwise(F.col("embedding")).cast("array<double>").alias("samples"),
     )
     found = signal.extract_features(broken, "vec_id", config=CONFIG)
-    return found.selectExpr("vec_id", "ok", *six("rms_mean", "zcr_mean"))
+    return found.selectExpr("vec_id", "ok", *six(*compact_names()))
 
 
 # --- statistics of arrays -------------------------------------------------------------------
@@ -367,8 +367,14 @@ _FILES = f"""files AS (
   SELECT vec_id, 'store/set ' || (vec_id % 7) || '/' || vec_id || '.wav' AS path,
          vec_id || '.wav' AS filename, len(embedding) / {views.WAV_RATE}.0::DOUBLE AS duration
   FROM embeddings)"""
+# The features of what PCM16 keeps of the vectors.
+_QUANTISED = _compact_sql(compact_names()).replace("FROM embeddings WHERE", "FROM quantised WHERE").replace(
+    "WITH ", "WITH quantised AS (SELECT vec_id, [floor(x::DOUBLE * 8192) / 32768.0::DOUBLE for x in embedding]"
+    " AS embedding FROM embeddings), ", 1,
+)
 _UPLOADED = f"""SELECT filename, duration, {bucket_sql('path', 100)} + 1 AS user_id,
-  '2024-05-06' AS uploaded_at, 1 AS ok FROM files"""
+  '2024-05-06' AS uploaded_at, 1 AS ok, {', '.join(compact_names())}
+  FROM files JOIN ({_QUANTISED}) USING (vec_id)"""
 
 
 @query(f"""WITH samples AS (
@@ -394,7 +400,7 @@ def _uploads(spark, root):
 @query(f"WITH {_FILES} {_UPLOADED}")
 def extract_upload(spark, root):
     """The upload form: file name, duration, user and date beside the features."""
-    return _uploads(spark, root).select("filename", "duration", "user_id", "uploaded_at", "ok")
+    return _uploads(spark, root).selectExpr("filename", "duration", "user_id", "uploaded_at", "ok", *six(*compact_names()))
 
 
 @query(f"WITH {_FILES} {_UPLOADED}")
@@ -403,4 +409,4 @@ def analyse_and_store(spark, root):
     path = scratch_path(spark, "analysed")
     sinks.append_history(_uploads(spark, root), path)
     stored = sources.read_dataset(spark, path)
-    return stored.select("filename", "duration", "user_id", "uploaded_at", F.lit(1).alias("ok"))
+    return stored.selectExpr("filename", "duration", "user_id", "uploaded_at", "1 AS ok", *six(*compact_names()))
