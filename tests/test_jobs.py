@@ -1,5 +1,7 @@
-from helpers import rows
+from pathlib import Path
+
 import pytest
+from helpers import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from wavs import tone, write_wav
@@ -137,6 +139,22 @@ def test_incremental_extraction(spark, tmp_path):
     stored = sources.read_dataset(spark, out)
     assert stored.count() == 7 == stored.select("path").distinct().count()
     assert stored.columns == ["path", *compact_names()]
+    failed = sources.read_dataset(spark, f"{out}_failures").collect()
+    assert [(r["path"].rsplit("/", 1)[1], bool(r["error"])) for r in failed] == [("bad.wav", True)]
+
+
+def test_repeated_batch_stores_nothing_twice(spark, tmp_path, monkeypatch):
+    """A run that ends between storing a batch and recording it."""
+    audio, out, progress = tmp_path / "audio", scratch_path(spark, "stream"), scratch_path(spark, "progress")
+    _corpus(audio, 0, 3)
+    (audio / "0" / "bad.wav").write_bytes(b"x")
+    extract_new_files(spark, str(audio), out, progress)
+    (tmp_path / "lost").mkdir()
+    for file in Path(progress, "commits").iterdir():  # the stream forgets that the batch was done
+        file.rename(tmp_path / "lost" / file.name)
+    extract_new_files(spark, str(audio), out, progress)
+    stored = [r["path"] for r in sources.read_dataset(spark, out).collect()]
+    assert len(stored) == len(set(stored)) == 3 and sources.read_dataset(spark, f"{out}_failures").count() == 1
 
 
 def test_shards_are_read_as_one(spark):

@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 from timbrelake import sinks, sources
 from timbrelake.operators import joins
 from timbrelake.session import scratch_path, shared_dir
-from timbrelake.sources import listing
+from timbrelake.sources import files, listing
 
 HEADER = "TRACK_ID\tARTIST_ID\tALBUM_ID\tPATH\tDURATION\tTAGS\n"
 LINES = [
@@ -207,3 +209,17 @@ def test_bucketed_store_joins_without_an_exchange(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     with pytest.raises(ValueError):
         sinks.write_bucketed(frame, path, "y", append=True)
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+def test_sample_is_the_head_of_the_hash_order(spark, monkeypatch, digits):
+    monkeypatch.setattr(files, "DIGITS", digits)
+    names = [f"n{i % 700}" for i in range(1000)] + [None]
+    frame = spark.createDataFrame([(n,) for n in names], "draw STRING").repartition(3)
+    order = sorted(("" if n is None else hashlib.md5(f"42{n}".encode()).hexdigest(), n or "") for n in names)
+    for fraction in (0.0, 0.1, 0.333, 1.0):
+        got = sorted(r["draw"] or "" for r in sources.sample_names(frame, "draw", fraction).collect())
+        assert got == sorted(n for _, n in order[: max(1, int(1001 * fraction))])
+    plan = sources.sample_names(frame, "draw", 0.1)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "rangepartitioning" not in plan
+    assert sources.sample_names(frame.limit(0), "draw").count() == 0

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timbrelake.constants import SAMPLE_FRACTION, SAMPLE_SEED
-from timbrelake.operators.ordering import global_index
 from timbrelake.sources.listing import list_folders
 
+#: Hexadecimal digits of a hash that names are counted by.
+DIGITS = 4
+
 
 def list_files(
     spark: SparkSession,
@@ -65,10 +67,27 @@ def sample_names(
 ) -> DataFrame:
     """Exactly ``max(1, floor(n * fraction))`` names, drawn by a seeded hash order.
 
-    The draw is by global position, so no task or driver ever holds the whole sample.
+    The sample is a filter on the hash. Names are counted by the first digits of their hashes, at
+    most ``16 ** DIGITS`` numbers; the one group that the sample ends in is cut at its last name.
+    No name is sorted or shuffled but those of that group. Of a name that stands there more than
+    once as many rows are taken as are missing.
     """
-    drawn, total = global_index(
-        names.select(column).withColumn("_draw", _draw(F.col(column), seed)), "_draw", column
-    )
-    size = max(1, int(total * fraction))
-    return drawn.filter(F.col("row_index") < size).select(column)
+    drawn = names.select(F.col(column).alias("name"), F.coalesce(_draw(F.col(column), seed), F.lit("")).alias("draw"))
+    first = F.substring("draw", 1, DIGITS)
+    counts = sorted(tuple(row) for row in drawn.groupBy(first.alias("first")).count().collect())
+    total = sum(n for _, n in counts)
+    left = max(1, int(total * fraction))
+    for digits, n in counts:
+        if left <= n:
+            break
+        left -= n
+    else:
+        return drawn.select(F.col("name").alias(column))  # no names at all, or all of them
+    ends = drawn.filter(first == digits).orderBy("draw", "name").limit(left)
+    last = ends.agg(F.max(F.struct("draw", "name"))).first()[0]
+    here = F.struct("draw", "name")
+    edge = F.lit(last["draw"]), F.lit(last["name"]).cast(drawn.schema["name"].dataType)
+    bound = F.struct(edge[0].alias("draw"), edge[1].alias("name"))
+    missing = ends.filter(here == bound).count()
+    below = drawn.filter(here < bound).union(drawn.filter(here == bound).limit(missing))
+    return below.select(F.col("name").alias(column))
