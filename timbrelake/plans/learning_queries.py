@@ -139,6 +139,34 @@ def lr_multinomial(spark, root):
     return _multiclass(spark, root, learning.logistic_stages)
 
 
+# Labels that follow from the features: which of the first three is the largest.
+_RULE = f"""SELECT count(*) FILTER ({_HELD_OUT}) AS tested, TRUE AS learned FROM embeddings"""
+#: Accuracy and F1 that a fit reaches on held-out rows, of which an even guess gets a third right.
+_LEARNED = 0.6
+
+
+def _rule(spark, root, stages):
+    """Held-out rows, and whether accuracy and F1 on them show that the rule was learned."""
+    largest = F.greatest("x0", "x1", "x2")
+    name = F.when(F.col("x0") == largest, "first").when(F.col("x1") == largest, "second").otherwise("third")
+    rows = views.vectors(spark, root).select("vec_id", "x0", "x1", "x2", "x3", name.alias("label_str"))
+    train, test = learning.hash_split(rows, "vec_id")
+    scored = stages(["x0", "x1", "x2", "x3"]).fit(train).transform(test)
+    metrics = learning.classification_metrics(scored)
+    learned = (F.col("accuracy") >= _LEARNED) & (F.col("f1") >= _LEARNED)
+    return metrics.select(F.lit(scored.count()).cast("bigint").alias("tested"), learned.alias("learned"))
+
+
+@query(_RULE)
+def rf_rule(spark, root):
+    return _rule(spark, root, learning.forest_stages)
+
+
+@query(_RULE)
+def lr_rule(spark, root):
+    return _rule(spark, root, learning.logistic_stages)
+
+
 _ONE_VS_REST = f"""WITH counts AS (
   SELECT 'genre' || CAST(label AS VARCHAR) AS genre, count(*) AS total,
          count(*) FILTER (NOT {_HELD_OUT}) AS pos FROM embeddings GROUP BY 1)
