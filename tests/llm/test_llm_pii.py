@@ -45,3 +45,28 @@ def test_secrets_are_learned(spark):
 def test_plan_has_no_python(docs):
     plan = pii.find(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_trees_learn_from_the_candidates_of_every_row(spark, monkeypatch):
+    """Beyond 40,000 documents, too, of which a part by hash was learned from once."""
+    seen = []
+
+    class Trees(pii.GBTClassifier):
+        def fit(self, rows):
+            seen.append(rows.count())
+            return super().fit(rows)
+
+    class Curve(pii.LogisticRegression):
+        def fit(self, rows):
+            seen.append(rows.count())
+            return super().fit(rows)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Trees)
+    monkeypatch.setattr(pii, "LogisticRegression", Curve)
+    monkeypatch.setattr(pii, "TREES", 1)
+    n = 60_000
+    rows = spark.range(0, n, 1, 4).selectExpr(
+        "id AS doc_id", "CASE WHEN id % 6 = 0 THEN concat('at ', if(id % 12 = 0, 300, 10), '.0.', id div 250, '.', id % 250) ELSE concat('w', id) END AS text"
+    )
+    assert pii.find(rows).count() == n
+    assert sum(seen) == n // 6

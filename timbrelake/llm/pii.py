@@ -14,8 +14,6 @@ from timbrelake.session import scratch_path
 
 #: Kinds in the order in which spans are listed; the first four are the base.
 KINDS = ("email", "ip", "card", "phone", "secret", "ssn")
-#: Documents, chosen by hash, whose candidates train and calibrate the trees, about at most.
-TRAINING_DOCS = 40_000
 TREES, DEPTH = 20, 3
 #: Precision that a kind's threshold has to reach on the calibration part.
 PRECISION = 0.9
@@ -215,18 +213,24 @@ def _nodes(node) -> object:
     return split.featureIndex(), split.threshold(), _nodes(node.leftChild()), _nodes(node.rightChild())
 
 
-def fit(docs: DataFrame, most: int = TRAINING_DOCS) -> Selector | None:
-    """Train and calibrate on the candidates of about ``most`` documents, chosen by a hash of their text.
+def proposed(docs: DataFrame) -> DataFrame:
+    """Base spans and candidates of every row, written to the shared folder so that texts are searched once."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "spans")
+    candidates(base_spans(docs)).drop("_text", "_numbers").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def fit(spans: DataFrame) -> Selector | None:
+    """Train and calibrate on the candidates of all rows of :func:`proposed`.
 
     Seven tenths of the candidates train the trees; on the rest a logistic curve turns margins
     into chances and each kind gets the least chance at which the weak labels reach PRECISION.
     Kinds that never do so are not accepted. Without candidates of both labels there is nothing
     to learn and the result is None.
     """
-    spark = docs.sparkSession
-    share = min(1.0, most / max(docs.count(), 1))
-    sample = docs.where(F.pmod(F.xxhash64("_text", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000))
-    found = candidates(base_spans(sample)).select(F.explode("_candidates").alias("c"))
+    spark = spans.sparkSession
+    found = spans.select(F.explode("_candidates").alias("c"))
     rows = found.select("c.kind", weak_label(F.col("c")).cast("double").alias("label"), *(
         F.col("c.f")[i].alias(n) for i, n in enumerate(feature_names()) if n != "kind"
     ), F.pmod(F.xxhash64("c.match", "c.start"), F.lit(10)).alias("part")).where("label is not null")
@@ -255,7 +259,7 @@ def fit(docs: DataFrame, most: int = TRAINING_DOCS) -> Selector | None:
     return Selector(trees, weights, slope, intercept, thresholds)
 
 
-def find(docs: DataFrame, most: int = TRAINING_DOCS) -> DataFrame:
+def find(docs: DataFrame) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` of every row.
 
     Base spans are found by their patterns and checks. Candidates of the generators that do not
@@ -263,12 +267,13 @@ def find(docs: DataFrame, most: int = TRAINING_DOCS) -> DataFrame:
     the greater chance stays, then the earlier, then the longer. Spans are kind:start:end in code
     points, end exclusive, by kind in the order of KINDS, then start. Null and empty texts have no
     spans (an empty list, whose hash is that of the empty string). Repeated rows and null ids
-    stay; other columns are ignored; an empty table gives no rows. Everything but training is one
-    pass of column expressions over the texts, without a shuffle.
+    stay; other columns are ignored; an empty table gives no rows. Trees and thresholds learn from
+    the candidates of every row. Texts are searched once, by column expressions; what is found is
+    written to the shared folder, from where training and selection, which needs no shuffle, read it.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("_text"))
-    selector = fit(plain, most)
-    out = candidates(base_spans(plain))
+    out = proposed(plain)
+    selector = fit(out)
     if selector is None or not selector.thresholds:
         out = out.withColumn("_added", F.expr(f"cast(array() as {SPAN})"))
     else:
