@@ -60,3 +60,16 @@ def test_durations_have_no_cells(spark, tracks, store):
     whole = rollup.group_profile(rollup.cells(tracks))
     assert rows(rollup.group_profile(rollup.merged(*halves))) == rows(whole)
     assert rollup.group_profile(rollup.cells(tracks.limit(0))).count() == 0
+
+
+def test_one_large_batch_is_written_by_several_tasks(spark, tracks):
+    path = scratch_path(spark, "large")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the cells are few
+    try:
+        assert rollup.refresh(spark, tracks.withColumn("batch_id", F.lit(1)), path) == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(path)
+    parts = stored.groupBy(F.input_file_name()).count().collect()
+    assert len(parts) > 2 and max(r["count"] for r in parts) < stored.count() / 2
+    assert stored.agg(F.sum("count")).first()[0] == tracks.count()

@@ -45,7 +45,8 @@ def refresh(spark: SparkSession, dataset: DataFrame, store: str, batch: str = "b
     Only those batches are read: their numbers are compared with those of the store, and the
     filter on them prunes the folders of a data set that is partitioned by batch. Each batch's
     cells go to a folder of their own, which is replaced as a whole, so that a refresh that was
-    ended half-way is made up for by the next one.
+    ended half-way is made up for by the next one. Cells are dealt out in ranges of batch and
+    dimensions, so that a large batch is written by many tasks, a small one by few.
     """
     known = dataset.select(batch).distinct()
     if path_exists(spark, store):
@@ -53,7 +54,8 @@ def refresh(spark: SparkSession, dataset: DataFrame, store: str, batch: str = "b
     new = sorted(row[0] for row in known.collect())  # one number a batch
     if new:
         fresh = cells(dataset.filter(F.col(batch).isin(new)), batch)
-        writer = fresh.repartition(batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        dealt = fresh.repartitionByRange(batch, *(name for name in DIMENSIONS if name in fresh.columns))
+        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(batch).parquet(store)
     return len(new)
 
