@@ -3,9 +3,10 @@ import random
 import numpy as np
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from timbrelake.llm import similar
+from timbrelake.llm import near_dedup, similar
 
 
 def sets(text):
@@ -69,3 +70,21 @@ def test_pairs_of_sets_are_those_of_plain_sets(monkeypatch):
         a, b = similar.similar_pairs(made, 0.5)
         found = {(i, j) for i, x in enumerate(made) for j, y in enumerate(made) if i < j and len(set(x) & set(y)) >= 0.5 * len(set(x) | set(y))}
         assert set(zip(a.tolist(), b.tolist())) == found and found
+
+
+def test_fingerprints_propose_beside_the_bands(spark):
+    """Without any band, copies within operator 5's radius are linked, and only if they are similar."""
+    pick, texts = random.Random(3), []
+    for k in range(12):
+        words = [f"w{pick.randrange(3000)}" for _ in range(400)]
+        texts += [" ".join(words), " ".join([*words[:-1], f"e{k}"]), " ".join(words[:200] + [f"x{k}"] + words[200:])]
+    rows = near_dedup.identified(plain.documents(spark, texts, list(range(len(texts)))))
+    nodes = similar._nodes(rows)
+    name = {r.node: r.least.doc_id for r in nodes.collect()}
+    found = similar.links(rows, nodes.withColumn("bands", F.array().cast("array<long>"))).collect()
+    got = {frozenset((name[r.a], name[r.b])) for r in found}
+    fp = [int(x) for x in near_dedup.slice_fingerprints([t.encode() for t in texts])]
+    near = plain.components(fp, lambda x, y: (x ^ y).bit_count() <= near_dedup.RADIUS)
+    assert len(got) > 5 and all(near[min(p)] == near[max(p)] for p in got)
+    alike = [(sets(texts[min(p)]), sets(texts[max(p)])) for p in got]
+    assert all(len(a & b) >= 0.8 * len(a | b) for a, b in alike)

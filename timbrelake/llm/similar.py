@@ -1,4 +1,4 @@
-"""Near-duplicate groups by shingle similarity: MinHash bands propose, exact Jaccard of five-word shingles decides."""
+"""Near-duplicate groups by shingle similarity: op5's fingerprints and MinHash bands propose, exact Jaccard of five-word shingles decides."""
 
 from __future__ import annotations
 
@@ -6,9 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from timbrelake.llm import near_dedup
 from timbrelake.llm.components import connected_components
 from timbrelake.llm.near_dedup import identified, local_roots
 from timbrelake.llm.text import NOT_BLANK, Slice, WordHashes, arrow_map, mixed, slices, windows
@@ -59,7 +60,10 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``uid, doc_id, one, two, n, bands`` of each row of :func:`identified`: one and two are 128 bits of its set of shingles."""
+    """``uid, doc_id, one, two, n, bands, fp`` of each row of :func:`identified`.
+
+    one and two are 128 bits of its set of shingles, fp is the fingerprint of :mod:`near_dedup`.
+    """
 
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         hashes = _hashes()
@@ -75,11 +79,12 @@ def sketches(docs: DataFrame) -> DataFrame:
             offsets = np.append(0, np.cumsum(np.where(n > 0, BANDS, 0))).astype(np.int32)
             ids = [batch.column(c).slice(start, len(texts)) for c in ("_uid", "doc_id")]
             bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
-            yield pa.record_batch([*ids, pa.array(one), pa.array(two), pa.array(n), bands], ["uid", "doc_id", "one", "two", "n", "bands"])
+            fp = pa.array(near_dedup.slice_fingerprints(texts).view(np.int64))
+            yield pa.record_batch([*ids, pa.array(one), pa.array(two), pa.array(n), bands, fp], ["uid", "doc_id", "one", "two", "n", "bands", "fp"])
 
     ship_package(docs.sparkSession)
     rows = docs.select("_uid", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return arrow_map(rows, of, "uid long, doc_id long, one long, two long, n int, bands array<long>")
+    return arrow_map(rows, of, "uid long, doc_id long, one long, two long, n int, bands array<long>, fp long")
 
 
 _HASHES: list[WordHashes] = []
@@ -129,23 +134,40 @@ def _kept(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
-def links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links whose components are those of all pairs of nodes that share a band and are similar.
+def _sized(a: str, b: str, similarity: float) -> Column:
+    """Whether sets of these sizes can be similar."""
+    return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
 
-    Each node is compared with the least node of each of its bands first. What this connects is
-    not compared again, so a large group of copies costs a few comparisons for each member. The
-    nodes of bands that are not connected then are compared where they meet, see ``_open_links``.
+
+def _close(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes that the fingerprints propose, as many as connect what they connect.
+
+    Each node is paired with the least one of its fingerprint, and these where
+    :func:`near_dedup.links` links their fingerprints.
     """
+    full = nodes.where("n > 0").select("fp", F.struct("node", "n").alias("y"))
+    least = _kept(full.groupBy("fp").agg(F.min("y").alias("x")), "fingerprints")
+    near = near_dedup.links(least.select("fp")).toDF("fp", "other")
+    near = near.join(least, "fp").join(least.toDF("other", "y"), "other")
+    pairs = least.join(full, "fp").select("x", "y").union(near.select("x", "y"))
+    fit = (F.col("x.node") != F.col("y.node")) & _sized("x.n", "y.n", similarity)
+    return pairs.where(fit).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
 
-    def sized(a: str, b: str):
-        return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
+def links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links whose components are those of all pairs of nodes that share a band and are similar.
 
+    Each node is compared with those that its fingerprint proposes and with the least node of each
+    of its bands first. What this connects is not compared again, so a large group of copies costs
+    a few comparisons for each member. The nodes of bands that are not connected then are compared
+    where they meet, see ``_open_links``.
+    """
     keyed = nodes.where("n > 0").select("node", "n", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("times"), F.min(F.struct("node", "n")).alias("star")).where("times > 1")
     members = _kept(keyed.join(shared.select("key", "star"), "key"), "bands")
     tried = _kept(
-        members.where(F.col("node") != F.col("star.node")).where(sized("n", "star.n"))
-        .select(F.col("star.node").alias("a"), F.col("node").alias("b")).distinct(), "tried",
+        members.where(F.col("node") != F.col("star.node")).where(_sized("n", "star.n", similarity))
+        .select(F.col("star.node").alias("a"), F.col("node").alias("b")).union(_close(nodes, similarity)).distinct(), "tried",
     )
     first = _kept(_verified(tried, rows, nodes, similarity), "links")
     roots = connected_components(first)
@@ -247,6 +269,14 @@ def similar_pairs(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray
     return a, b
 
 
+def _nodes(rows: DataFrame) -> DataFrame:
+    """Written table of the distinct sets of shingles: ``least`` row, ``node``, ``fp`` of a row, ``n, bands``."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "uid")).alias("least")
+    own = F.min(F.struct("uid", "fp")).alias("own")
+    sets = sketches(rows).groupBy("one", "two").agg(first, own, F.first("n").alias("n"), F.first("bands").alias("bands"))
+    return _kept(sets.select("least", F.col("own.uid").alias("node"), "own.fp", "n", "bands"), "nodes")
+
+
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Of each group of similar texts the row with the least doc_id (nulls last), all columns kept.
 
@@ -260,9 +290,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     names = [f"c{i}" for i in range(len(docs.columns))]
     columns = [F.col(f"`{c}`").alias(n) for n, c in zip(names, docs.columns)]
     rows = identified(docs.select(*columns, F.col("doc_id").alias("doc_id"), F.col("text").alias("text")))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "uid")).alias("least")
-    sets = sketches(rows).groupBy("one", "two").agg(first, F.min("uid").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    nodes = _kept(sets.drop("one", "two"), "nodes")
+    nodes = _nodes(rows)
     roots = connected_components(links(rows, nodes, similarity))
     rooted = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("group"))
     kept = rooted.agg(F.min("least").alias("least")).select(F.col("least.uid").alias("_uid"))
