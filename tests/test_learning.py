@@ -165,3 +165,18 @@ def test_logistic_models_predict_too(spark, blobs):
     model = learning.logistic_stages(["x", "y"]).fit(blobs)
     items = spark.createDataFrame([(0.0, 6.0)], "x DOUBLE, y DOUBLE")
     assert learning.predict_top(model, items, k=1).first()["label"] == "c"
+
+
+def test_forests_are_plain_fits_and_their_areas_one_pass(spark, blobs, monkeypatch):
+    calls = []
+    areas = learning.areas_under_roc
+    monkeypatch.setattr(learning, "areas_under_roc", lambda *a, **k: (calls.append(a[1:]), areas(*a, **k))[1])
+    scores, models = learning.one_vs_rest(blobs, "key", ["x", "y"], "forest", numTrees=10)
+    assert calls == [("tag",)] and len(models) == 4
+    _, test = learning.hash_split(learning.assembler(["x", "y"]).transform(blobs), "key")
+    found = {r["genre"]: r["auc"] for r in scores.collect()}
+    _, again = learning.one_vs_rest(blobs, "key", ["x", "y"], "forest", numTrees=10, cacheNodeIds=False)
+    for tag, model in models.items():
+        scored = model.transform(test.withColumn("label", F.array_contains("genres", tag).cast("double")))
+        assert found[tag] == pytest.approx(BinaryClassificationEvaluator(numBins=0).evaluate(scored), abs=1e-9)
+        assert model.toDebugString.splitlines()[1:] == again[tag].toDebugString.splitlines()[1:]

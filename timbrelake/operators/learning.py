@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.common import _py2java
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -118,9 +118,10 @@ def one_vs_rest(
     Vectors are assembled and scaled once and written to the shared folder; balances of all tags
     come from one aggregation. Logistic models are fitted side by side, with one pass over the
     rows for each step of all of them (:func:`tag_models.fit_logistic`, which takes ``regParam``
-    and ``maxIter`` of the parameters), and all areas under ROC come from one pass. Forests share
-    nothing but their rows: they are Spark jobs, of which ``parallelism`` run side by side. Scores
-    are those of the held-out rows, or of the training rows without ``held_out``.
+    and ``maxIter`` of the parameters). Forests share nothing but their rows: they are Spark jobs,
+    of which ``parallelism`` run side by side and each writes its scores once. All areas under ROC
+    come from one pass. Scores are those of the held-out rows, or of the training rows without
+    ``held_out``.
     """
     spark = df.sparkSession
     logistic = kind == "logistic"
@@ -170,20 +171,28 @@ def _logistic_model(weights) -> LogisticRegressionModel:
 
 
 def _forest_models(both, tags, names, positives, held_out, parallelism, params) -> tuple[dict, dict]:
-    path = scratch_path(both.sparkSession, "tag-vectors")
+    spark = both.sparkSession
+    path, scores = scratch_path(spark, "tag-vectors"), scratch_path(spark, "tag-scores")
     both.select(F.col(tags).alias("tags"), "features", "test").write.parquet(path)
-    rows = both.sparkSession.read.parquet(path)
+    rows = spark.read.parquet(path)
+    # Rows keep the node they are at in each tree, so that no level walks down from the root again.
+    settings = {"cacheNodeIds": True, "checkpointInterval": -1} | BINARY_FOREST | params
 
-    def fit(tag: str) -> tuple:
-        labelled = rows.withColumn("label", tag_indicator(F.col("tags"), tag))
-        estimator = RandomForestClassifier(featuresCol="features", labelCol="label", **(BINARY_FOREST | params))
-        model = estimator.fit(labelled.filter(~F.col("test")))
+    def fit(place: int) -> RandomForestClassificationModel:
+        labelled = rows.withColumn("label", tag_indicator(F.col("tags"), names[place]))
+        model = RandomForestClassifier(featuresCol="features", labelCol="label", **settings).fit(labelled.filter(~F.col("test")))
         scored = model.transform(labelled.filter(F.col("test") == held_out))
-        return model, area_under_roc(scored.withColumn("score", vector_to_array("probability")[1]), "label", "score")
-
-    with ThreadPool(max(1, min(parallelism, len(names) or 1))) as pool:
-        fitted = dict(zip(names, pool.map(fit, names)))
-    return {n: m for n, (m, _) in fitted.items()}, {n: a for n, (_, a) in fitted.items()}
+        score = vector_to_array("probability")[1].alias("score")
+        scored.select(F.lit(place).alias("tag"), score, "label").write.parquet(f"{scores}/{place}")
+        return model
+
+    if not names:
+        return {}, {}
+    with ThreadPool(max(1, min(parallelism, len(names)))) as pool:
+        models = pool.map(fit, range(len(names)), chunksize=1)
+    scored = spark.read.parquet(*(f"{scores}/{place}" for place in range(len(names))))
+    areas = {names[r["tag"]]: r["auc"] for r in areas_under_roc(scored, "tag").collect()}
+    return dict(zip(names, models)), areas
 
 
 def save_model(model: PipelineModel, path: str) -> None:
